@@ -35,8 +35,8 @@ def to_number(col: Column) -> Column:
 
 
 def to_timestamp(col: Column) -> Column:
-    """Timestamp of a text or timestamp column; null for empty or unreadable values."""
-    return F.nullif(col.cast("string"), F.lit("")).try_cast("timestamp")
+    """Wall-clock time of a text or timestamp column; null for empty or unreadable values."""
+    return F.nullif(col.cast("string"), F.lit("")).try_cast("timestamp_ntz")
 
 
 def finite(df: DataFrame) -> DataFrame:
@@ -48,10 +48,14 @@ def finite(df: DataFrame) -> DataFrame:
     return df.withColumns(keep) if keep else df
 
 
+def at(moment: dt.datetime) -> Column:
+    return F.lit(moment.isoformat()).cast("timestamp_ntz")
+
+
 def run_columns(run_at: dt.datetime) -> dict[str, Column]:
     """Columns of the processing run (not of the publication)."""
     return {
-        "date_nettoyage": F.lit(run_at).cast("timestamp"),
+        "date_nettoyage": at(run_at),
         "annee": F.lit(run_at.year),
         "mois": F.lit(run_at.month),
         "jour": F.lit(run_at.day),

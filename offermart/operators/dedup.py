@@ -34,8 +34,8 @@ def greedy_unique(df: DataFrame, key: str = "id", order: str = "ord", tail_rows:
     left (long chains of alternating keys) they are decided by one ordered pass over that bounded rest.
     """
     fp = fingerprint(F.col("titre"), F.col("entreprise"), F.col("lieu"))
-    narrow = df.select(F.col(order).alias("o"), F.col(key).alias("k"), F.xxhash64(fp).alias("h"), fp.alias("f"))
-    kept = _greedy_orders(narrow.drop("h"), tail_rows)
+    narrow = df.select(F.col(order).alias("o"), F.col(key).alias("k"), fp.alias("f"))
+    kept = _greedy_orders(narrow, tail_rows)
     return df.join(kept, F.col(order) == kept["o"], "left_semi")
 
 
@@ -84,11 +84,9 @@ def _ordered_pass(rows: DataFrame) -> DataFrame:
 
 def duplicate_stats(df: DataFrame, kept: DataFrame) -> DataFrame:
     """One row: rows read, rows kept, duplicates and their share."""
-    total = df.agg(F.count("*").alias("total"))
-    unique = kept.agg(F.count("*").alias("uniques"))
-    share = F.coalesce(F.try_divide(F.col("doublons"), F.col("total")), F.lit(0.0))
-    return (
-        total.join(F.broadcast(unique))
-        .withColumn("doublons", F.col("total") - F.col("uniques"))
-        .withColumn("taux", F.round(share, 4))
+    tagged = df.select(F.lit(0).alias("kept")).unionByName(kept.select(F.lit(1).alias("kept")))
+    counts = tagged.agg(
+        F.count_if(F.col("kept") == 0).alias("total"), F.count_if(F.col("kept") == 1).alias("uniques")
     )
+    share = F.coalesce(F.try_divide(F.col("doublons"), F.col("total")), F.lit(0.0))
+    return counts.withColumn("doublons", F.col("total") - F.col("uniques")).withColumn("taux", F.round(share, 4))

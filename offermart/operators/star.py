@@ -98,12 +98,13 @@ def key_skills(pairs: DataFrame, competences: DataFrame) -> DataFrame:
     return pairs.join(competences, "nom").select("id_offre", "id_competence")
 
 
-def _broken(rows: DataFrame) -> Column:
-    """Name of the first constraint a row breaks, null when it breaks none."""
-    rule = F.when(F.col("id_offre").isNull(), "id_offre absent")
-    for column, limit in S.MAX_LENGTHS.items():
-        if column in rows.columns:
-            rule = rule.when(F.char_length(column) > limit, f"{column} > {limit}")
+def _broken() -> Column:
+    """Name of the first constraint a Gold row breaks, null when it breaks none."""
+    limits = {**S.MAX_LENGTHS, "entreprise": S.MAX_COMPANY_LENGTH}
+    rule = F.when(F.col("id").isNull(), "id_offre absent")
+    for column, limit in limits.items():
+        name = "id" if column == "id_offre" else column
+        rule = rule.when(F.char_length(name) > limit, f"{column} > {limit}")
     return rule
 
 
@@ -112,10 +113,8 @@ def split_rejects(gold: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Only the bad rows are left out; the rest of the source is loaded.
     """
-    rule = _broken(gold.withColumnRenamed("id", "id_offre"))
-    marked = gold.withColumnRenamed("id", "id_offre").withColumn("motif", rule).withColumnRenamed("id_offre", "id")
-    valid = marked.filter(F.col("motif").isNull()).drop("motif")
-    return valid, marked.filter(F.col("motif").isNotNull())
+    marked = gold.withColumn("motif", _broken())
+    return marked.filter(F.col("motif").isNull()).drop("motif"), marked.filter(F.col("motif").isNotNull())
 
 
 def build_star(gold: DataFrame, existing: Star | None = None, order: str = "ord") -> Star:

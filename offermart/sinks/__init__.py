@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offermart.functions.values import at
 from offermart.sources import topic_of
 
 
@@ -67,7 +68,7 @@ def recommendation_rows(recommendations: DataFrame, run_at: dt.datetime) -> Data
         "id_offre",
         "source",
         F.col("score_match").cast("decimal(5,2)").alias("score_recommandation"),
-        F.lit(run_at).cast("timestamp").alias("date_recommandation"),
+        at(run_at).alias("date_recommandation"),
         F.lit(False).alias("est_consulte"),
         F.lit(False).alias("est_sauvegarde"),
     )
