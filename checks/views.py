@@ -7,11 +7,14 @@ the candidates from every row of ``customer``). Each column is one SQL expressio
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offermart.session import shared_dir
+
 RUN_AT = dt.datetime(2024, 2, 1, 6, 0, 0)
 
 _TEXT = """
@@ -133,3 +136,16 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return register
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of a table that is written once per application, in the shared folder, and read by later queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = f"{shared_dir(spark)}/offermart-{key[0]}-{uuid.uuid4().hex[:8]}/{name}"
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]

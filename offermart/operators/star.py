@@ -139,3 +139,17 @@ def load_summary(star: Star) -> DataFrame:
         .select(F.lit("table").alias("section"), "cle", "n")
         .unionByName(sources.select(F.lit("source").alias("section"), "cle", "n"))
     )
+
+
+def read_star(spark, path: str) -> Star:
+    return Star(
+        *(
+            spark.read.schema(schema).parquet(f"{path}/{name}")
+            for name, schema in (
+                ("entreprises", S.ENTREPRISES),
+                ("competences", S.COMPETENCES),
+                ("offres", S.OFFRES),
+                ("offre_competence", S.OFFRE_COMPETENCE),
+            )
+        )
+    )
