@@ -120,7 +120,7 @@ def duplicate_rate(spark, sf_dir):
     return dedup.duplicate_stats(raw, dedup.first_by_id(raw.select("id", "ord")))
 
 
-@query()
+@query(f"{L.WITH_GREEDY} SELECT id, ord, titre, entreprise, lieu FROM offers_raw WHERE ord IN (SELECT ord FROM greedy)")
 def dedup_greedy(spark, sf_dir):
     kept = dedup.greedy_unique(offers_raw(spark, sf_dir))
     return kept.select("id", "ord", "titre", "entreprise", "lieu")

@@ -158,3 +158,15 @@ SILVER_OUT = (
     "CAST(salaire_mensuel AS INT) AS salaire_mensuel, date_publication, date_scraping, date_nettoyage, annee, mois, jour, "
     "source, query_recherche, url"
 )
+
+# Offers a greedy pass keeps: rounds of first-in-both-groups rows. Needs WITH RECURSIVE.
+GREEDY = """rounds AS (
+ SELECT ord, id, lower(titre) || '|' || lower(coalesce(entreprise, '')) || '|' || lower(lieu) AS fp, false AS kept FROM {rows}
+ UNION ALL
+ SELECT ord, id, fp, first AS kept FROM (
+  SELECT *, bool_or(first) OVER (PARTITION BY id) AS ki, bool_or(first) OVER (PARTITION BY fp) AS kf FROM (
+   SELECT ord, id, fp, ord = min(ord) OVER (PARTITION BY id) AND ord = min(ord) OVER (PARTITION BY fp) AS first
+   FROM rounds WHERE NOT kept))
+ WHERE first OR NOT (ki OR kf)),
+greedy AS (SELECT ord FROM rounds WHERE kept)"""
+WITH_GREEDY = f"WITH RECURSIVE {OFFERS_CTE},\n{GREEDY.format(rows='offers_raw')}"

@@ -323,7 +323,10 @@ def skill_users(spark, sf_dir):
     return market.skill_users(candidate_skills(spark, sf_dir))
 
 
-@query()
+@query(
+    f"{L.WITH_GREEDY} SELECT t AS total, u AS uniques, t - u AS doublons, round((t - u) / t, 4) AS taux FROM "
+    "(SELECT count(*) AS t FROM offers_raw), (SELECT count(*) AS u FROM greedy)"
+)
 def duplicate_rate_greedy(spark, sf_dir):
     raw = offers_raw(spark, sf_dir)
     return dedup.duplicate_stats(raw, dedup.greedy_unique(raw))

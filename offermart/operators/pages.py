@@ -41,9 +41,17 @@ def plain(html: Column) -> Column:
     return strip(squeeze(out))
 
 
-def _first(html: Column, pattern: str, group: int = 1) -> Column:
-    """Text of the first element a pattern finds; null when there is none or it is empty."""
-    return F.nullif(plain(F.regexp_extract(html, _TAG + pattern, group)), F.lit(""))
+def _texts(html: Column, *patterns: tuple[str, int]) -> Column:
+    """Visible texts of the first element each pattern finds, in order, without the empty ones.
+
+    One lambda cleans them all, which keeps the generated code small however many patterns there are.
+    """
+    raw = F.array(*[F.regexp_extract(html, _TAG + pattern, group) for pattern, group in patterns])
+    return F.filter(F.transform(raw, plain), lambda t: t != "")
+
+
+def _head(values: Column) -> Column:
+    return F.try_element_at(values, F.lit(1))
 
 
 def _all(html: Column, pattern: str) -> Column:
@@ -55,16 +63,18 @@ def title(html: Column, page_heading: bool = False) -> Column:
 
     ``page_heading`` also accepts the main heading of a whole page, after the card rules.
     """
-    label = F.regexp_replace(_first(html, LINK_LABEL), any_case(V.LINK_LABEL_PREFIX), "")
-    found = [_first(html, HEADING), _first(html, MARKED), F.nullif(strip(label), F.lit("")), _first(html, ANY_HEADING)]
-    return F.coalesce(*found, *([_first(html, PAGE_HEADING)] if page_heading else []))
+    label = F.regexp_replace(plain(F.regexp_extract(html, _TAG + LINK_LABEL, 1)), any_case(V.LINK_LABEL_PREFIX), "")
+    rest = [(ANY_HEADING, 1)] + ([(PAGE_HEADING, 1)] if page_heading else [])
+    return F.coalesce(
+        _head(_texts(html, (HEADING, 1), (MARKED, 1))), F.nullif(strip(label), F.lit("")), _head(_texts(html, *rest))
+    )
 
 
 def offer_url(html: Column, base: str = V.BASE_URL_W) -> Column:
     """First link to a job, else first link; relative links get the base address; empty without links."""
     links = _all(html, HREF)
     jobs = F.filter(links, lambda h: h.contains("/jobs/"))
-    href = F.coalesce(F.try_element_at(jobs, F.lit(1)), F.try_element_at(links, F.lit(1)))
+    href = F.coalesce(_head(jobs), _head(links))
     return F.coalesce(F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(base), href)), F.lit(""))
 
 
@@ -79,30 +89,29 @@ def offer_id(url: Column, titre: Column, keyword: Column) -> Column:
 
 def company(html: Column) -> Column:
     """First image label that names something: not empty, not ``cover``, under 80 characters."""
-    labels_found = F.transform(_all(html, ALT), lambda a: strip(plain(a)))
-    good = F.filter(labels_found, lambda a: (a != "") & (F.lower(a) != "cover") & (F.char_length(a) < 80))
-    first = F.nullif(F.try_element_at(labels_found, F.lit(1)), F.lit(""))
-    return F.coalesce(F.try_element_at(good, F.lit(1)), first, F.lit(V.NON_SPECIFIE))
+    named = F.transform(_all(html, ALT), plain)
+    good = F.filter(named, lambda a: (a != "") & (F.lower(a) != "cover") & (F.char_length(a) < 80))
+    return F.coalesce(_head(good), F.nullif(_head(named), F.lit("")), F.lit(V.NON_SPECIFIE))
 
 
 def place(html: Column, titre: Column, entreprise: Column) -> Column:
     """First labelled element, else the first short span that looks like a place, else ``France``."""
-    labelled = [_first(html, p, 2) for p in PLACES]
-    labelled = [F.when((v != titre) & (v != entreprise) & (v != "France"), v) for v in labelled]
-    spans = F.transform(_all(html, SPAN), plain)
-    size = F.char_length
-    good = F.filter(
-        spans,
-        lambda s: (size(s) > 2) & (size(s) < 35) & ~s.contains("€") & (s != titre) & (s != entreprise)
-        & ~s.rlike(r"(?U)^\d"),
+
+    def other(text: Column) -> Column:
+        return (text != titre) & (text != entreprise)
+
+    labelled = F.filter(_texts(html, *[(p, 2) for p in PLACES]), lambda t: other(t) & (t != "France"))
+    spans = F.filter(
+        F.transform(_all(html, SPAN), plain),
+        lambda s: (F.char_length(s) > 2) & (F.char_length(s) < 35) & ~s.contains("€") & other(s) & ~s.rlike(r"(?U)^\d"),
     )
-    return F.coalesce(*labelled, F.try_element_at(good, F.lit(1)), F.lit("France"))
+    return F.coalesce(_head(labelled), _head(spans), F.lit("France"))
 
 
 def description(html: Column) -> Column:
     """Text of the first description container that holds any, else the start of the main text, else empty."""
-    main = F.substring(_first(html, MAIN), 1, 3000)
-    return F.coalesce(*[_first(html, p, 2) for p in DESCRIPTIONS], main, F.lit(""))
+    main = F.substring(plain(F.regexp_extract(html, _TAG + MAIN, 1)), 1, 3000)
+    return F.coalesce(_head(_texts(html, *[(p, 2) for p in DESCRIPTIONS])), main)
 
 
 def cards(pages: DataFrame, keyword: str | Column = "", page_heading: bool = False) -> DataFrame:

@@ -7,18 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offermart import schemas as S
 from offermart import vocab as V
 from offermart.operators.star import Star, build_star, read_star, split_rejects
 from offermart.plans.layers import GOLD_COLUMNS, SILVER_COLUMNS, gold, union_sources
 from offermart.sinks import write_bronze, write_layer, write_star
-from offermart.sources import conform, read_bronze, read_gold_for_day
-from offermart import schemas as S
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+from offermart.sources import conform, path_exists, read_bronze, read_gold_for_day
 
 
 def collect_day(offers: dict[str, DataFrame], root: str, day: dt.date) -> None:
@@ -38,15 +32,11 @@ def refine_source(spark: SparkSession, root: str, source: str, run_at: dt.dateti
 
 
 def gold_of_day(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
-    """Gold of all sources for a day with its load order: source after source."""
+    """Gold of all sources for a day with its load order: source after source, then the order of the rows."""
     frames = []
     for rank, source in enumerate(V.SOURCES):
         rows = read_gold_for_day(spark, f"{root}/gold", source, day.strftime("%Y%m%d"))
-        order = F.struct(
-            F.lit(rank).alias("rang"), F.col("_metadata.file_path").alias("file"),
-            F.monotonically_increasing_id().alias("pos"),
-        ) if "_metadata" in rows.columns else F.struct(F.lit(rank).alias("rang"), F.monotonically_increasing_id().alias("pos"))
-        frames.append(rows.withColumn("ord", order))
+        frames.append(rows.withColumn("ord", F.struct(F.lit(rank).alias("source"), F.col("ord").alias("row"))))
     return union_sources(frames)
 
 
@@ -65,6 +55,6 @@ def run_day(spark: SparkSession, root: str, run_at: dt.datetime, offers: dict[st
     if collect_only:
         return None
     for source in V.SOURCES:
-        if _exists(spark, f"{root}/bronze/source={source}"):
+        if path_exists(spark, f"{root}/bronze/source={source}"):
             refine_source(spark, root, source, run_at)
     return load_day(spark, root, run_at.date())[0]

@@ -33,15 +33,18 @@ def read_bronze_with_rejects(spark: SparkSession, path: str, lines: bool = False
     """Offers below ``path`` and the unreadable records, told apart instead of failing the run.
 
     A file holds a list of offers or a single offer. ``lines`` reads one offer per line, the layout ``write_bronze``
-    produces. ``ord`` is the total order of the input: file path, then position (a multi-line file is never split).
+    produces. ``ord`` is the total order of the input: file path, block of the file, position in the block.
     """
     schema = T.StructType(S.BRONZE.fields + [T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", "*.json")
     if not lines:
         reader = reader.option("multiLine", True).option("recursiveFileLookup", True)
-    raw = reader.json(path).withColumn(
-        "ord", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"))
+    order = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
     )
+    raw = reader.json(path).withColumn("ord", order)
     good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = raw.filter(F.col(CORRUPT).isNotNull()).select(F.col("ord.file").alias("file"), F.col(CORRUPT))
     return good, bad
@@ -57,25 +60,33 @@ def tag_source(df: DataFrame, source: str) -> DataFrame:
     return df.withColumn("source", F.coalesce(F.col("source"), tag) if source == V.A else tag)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_gold_for_day(spark: SparkSession, path: str, source: str, day: str) -> DataFrame:
-    """Newest Gold write of one source for a day ``YYYYMMDD``; empty when there is none.
+    """Newest Gold write of one source for a day ``YYYYMMDD``, with its row order ``ord``; empty when there is none.
 
     The newest modification time is found from file metadata alone; the data are scanned once, for that write only.
     """
-    all_files = (
-        spark.read.schema(S.GOLD)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(path)
-        .select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_modification_time").alias("_at"))
-        .filter(F.col("_path").contains(f"/{source}") | F.col("_path").contains(f"={source}/"))
-        .filter(F.col("_path").contains(day))
+    if not path_exists(spark, path):
+        order = T.StructType([T.StructField("file", T.StringType()), T.StructField("row", T.LongType())])
+        return spark.createDataFrame([], T.StructType(S.GOLD.fields + [T.StructField("ord", order)]))
+    files = spark.read.schema(S.GOLD).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    file = F.col("_metadata.file_path")
+    order = F.struct(file.alias("file"), F.col("_metadata.row_index").alias("row"))
+    rows = (
+        files.parquet(path)
+        .select("*", order.alias("ord"), F.col("_metadata.file_modification_time").alias("_at"))
+        .filter(F.col("ord.file").contains(f"/{source}") | F.col("ord.file").contains(f"={source}/"))
+        .filter(F.col("ord.file").contains(day))
+        # A Spark write is a folder of files, so the unit that competes is the folder.
+        .withColumn("_folder", F.regexp_replace("ord.file", "/[^/]*$", ""))
     )
-    # A Spark write is a folder of files, so the unit that competes is the folder.
-    folder = F.regexp_replace("_path", "/[^/]*$", "")
-    writes = all_files.groupBy(folder.alias("_folder")).agg(F.max("_at").alias("_at"))
+    writes = rows.groupBy("_folder").agg(F.max("_at").alias("_at"))
     newest = writes.agg(F.max_by("_folder", F.struct("_at", "_folder")).alias("_folder"))
-    return all_files.withColumn("_folder", folder).join(F.broadcast(newest), "_folder").drop("_folder", "_path", "_at")
+    return rows.join(F.broadcast(newest), "_folder").drop("_folder", "_at")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -44,12 +44,16 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
 def upsert(stream: DataFrame, path: str, checkpoint: str, order: str = "ord") -> DataStreamWriter:
     """Incremental warehouse load of a stream of Gold offers with their order.
 
-    Each batch stores its own first and last row per id and its offer-skill pairs below ``batch=<id>``. A replayed batch
-    replaces its folder, so it changes nothing, and no batch rewrites what earlier ones stored.
+    Each batch stores its own first and last row per id, its offer-skill pairs and its company names below
+    ``batch=<id>``. A replayed batch replaces its folder, so it changes nothing, and no batch rewrites what earlier ones
+    stored.
     """
 
     def store(rows: DataFrame, batch: int) -> None:
-        for name, table in (("states", S.upsert_states(rows, order)), ("pairs", S.offer_skills(rows))):
+        parts = {
+            "states": S.upsert_states(rows, order), "pairs": S.offer_skills(rows), "companies": S.company_names(rows)
+        }
+        for name, table in parts.items():
             table.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch}")
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True)
@@ -60,6 +64,7 @@ def read_upserted(spark: SparkSession, path: str) -> S.Star:
     states = S.merge_states(spark.read.parquet(f"{path}/states"))
     pairs = spark.read.parquet(f"{path}/pairs").select("id_offre", "nom").dropDuplicates()
     rows = S.fact_rows(states)
-    companies = S.extend_dimension(None, S.company_names(rows), "nom", "id_entreprise")
+    names = spark.read.parquet(f"{path}/companies").select("nom").distinct()
+    companies = S.extend_dimension(None, names, "nom", "id_entreprise")
     skills = S.extend_dimension(None, pairs.select("nom").distinct(), "nom", "id_competence")
     return S.Star(companies, skills, S.with_company_key(rows, companies), S.key_skills(pairs, skills))
