@@ -163,7 +163,7 @@ def _offer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{L.RAW}, d AS (SELECT *, CASE WHEN ord % 3 < 2 AND {_BODY} <> '' THEN {_BODY} ELSE substr(trim(regexp_replace('x ' || description || ' ' "
     rf"|| {_PAY}, '\s+', ' ', 'g')), 1, 3000) END AS body FROM offers_raw) SELECT ord AS page_id, 'jungle_' || CASE WHEN ord % 5 = 0 "
     "THEN id || '_x' ELSE 'co-' || (ord % 7) || '__' || id END AS id, titre, coalesce(entreprise, 'cover') AS entreprise, "
-    "CASE WHEN ord % 2 = 0 OR substr(lieu, 1, 1) <> '7' THEN lieu WHEN type_contrat <> '' THEN type_contrat ELSE 'France' END AS lieu, "
+    "CASE WHEN (ord % 2 = 0 AND lieu <> 'France') OR (ord % 2 = 1 AND substr(lieu, 1, 1) <> '7') THEN lieu WHEN type_contrat <> '' THEN type_contrat ELSE 'France' END AS lieu, "
     "body AS description, substr(body, 1, 300) AS description_snippet, "
     f"array_to_string({L.skill_list('body', V.SKILLS_COLLECTOR)}, '|') AS competences, "
     "'EUR' AS devise_salaire, CASE WHEN contains(type_contrat, 'CDI') OR contains(description, 'CDI') OR (ord % 3 < 2 AND contains(titre, 'CDI')) "

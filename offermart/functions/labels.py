@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from offermart import vocab as V
-from offermart.functions.text import any_case, blank, strip
+from offermart.functions.text import blank, strip, unicode, whole_words
 
 
 def lookup(table: dict[str, str], key: Column) -> Column:
@@ -24,6 +24,27 @@ def first_match(rules: list[tuple[str, Column]], default: str | None) -> Column:
     return out if default is None else out.otherwise(default)
 
 
+def first_word_rule(col: Column, rules: list[tuple[str, str]], default: str) -> Column:
+    """Label of the first rule one of whose whole words occurs, in any case.
+
+    The text is read once for the words of all rules; the rules are then applied to the few words found. A rule earlier
+    in the list must not lose a word to a longer word of a later rule, which holds for the fixed tables.
+    """
+    bodies = [[w.removeprefix(r"\b").removesuffix(r"\b").lower() for w in p.split("|")] for _, p in rules]
+    pattern = whole_words(*[b for rule in bodies for b in rule])
+    hits = F.array_distinct(F.regexp_extract_all(F.lower(col), F.lit(pattern), F.lit(1)))
+
+    def rank(hit: Column) -> Column:
+        chain = None
+        for i, rule in enumerate(bodies, 1):
+            found = hit.rlike(unicode(f"^(?:{'|'.join(rule)})$"))
+            chain = F.when(found, i) if chain is None else chain.when(found, i)
+        return chain
+
+    labels = F.array(*[F.lit(label) for label, _ in rules])
+    return F.coalesce(F.try_element_at(labels, F.array_min(F.transform(hits, rank))), F.lit(default))
+
+
 def normalize_contract(col: Column, source: str, keep_interim: bool = False) -> Column:
     if source == V.A:
         known = F.coalesce(lookup(V.CONTRACTS_A, F.upper(col)), col)
@@ -41,8 +62,7 @@ def contract_from_code(col: Column) -> Column:
 
 
 def contract_from_text(col: Column) -> Column:
-    rules = [(label, col.rlike(any_case(p))) for label, p in V.CONTRACT_TEXT_A]
-    return first_match(rules, V.NON_SPECIFIE)
+    return first_word_rule(col, V.CONTRACT_TEXT_A, V.NON_SPECIFIE)
 
 
 def contract_from_card(col: Column) -> Column:
@@ -54,5 +74,4 @@ EXPERIENCE = {V.A: V.EXPERIENCE_A, V.F: V.EXPERIENCE_F, V.W: V.EXPERIENCE_W}
 
 
 def experience_level(col: Column, source: str) -> Column:
-    rules = [(label, col.rlike(any_case(p))) for label, p in EXPERIENCE[source]]
-    return first_match(rules, V.NON_SPECIFIE)
+    return first_word_rule(col, EXPERIENCE[source], V.NON_SPECIFIE)

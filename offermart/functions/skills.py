@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from offermart import vocab as V
 from offermart.functions.labels import lookup
-from offermart.functions.text import unicode
+from offermart.functions.text import unicode, whole_words
 
 SEPARATORS = r"[-\s/]+"
 
@@ -34,8 +34,7 @@ def find_words(text: Column, vocabulary: dict[str, str]) -> Column:
     parts = {p for name in several for p in re.split(SEPARATORS, name.lower())}
     if len(keys) != len(vocabulary) or len(words) != len(set(words)) or parts & keys.keys():
         raise ValueError("vocabulary terms overlap; a single pass would miss some")
-    alternation = unicode(r"\b(" + "|".join(vocabulary.values()) + r")\b")
-    hits = F.regexp_extract_all(F.lower(text), F.lit(alternation), F.lit(1))
+    hits = F.regexp_extract_all(F.lower(text), F.lit(whole_words(*vocabulary.values())), F.lit(1))
     found = F.transform(F.array_distinct(hits), lambda h: lookup(keys, F.regexp_replace(h, unicode(SEPARATORS), "")))
     return F.array_sort(F.array_distinct(F.coalesce(found, F.array().cast("array<string>"))))
 

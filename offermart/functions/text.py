@@ -19,6 +19,16 @@ def any_case(pattern: str) -> str:
     return "(?iU)" + pattern
 
 
+def whole_words(*bodies: str) -> str:
+    """Pattern of any of the bodies, standing as whole words. Look-arounds run faster than ``\\b`` and cut at the same
+    places; a body that starts with a sign needs a word character before it, as ``\\b`` would."""
+    signed = [b for b in bodies if b.startswith("\\+")]
+    plain_bodies = [b for b in bodies if b not in signed]
+    parts = [rf"(?<![{WORD}])(?:{'|'.join(plain_bodies)})"] if plain_bodies else []
+    parts += [rf"(?<=[{WORD}])(?:{'|'.join(signed)})"] if signed else []
+    return unicode(rf"((?:{'|'.join(parts)})(?![{WORD}]))")
+
+
 def drop(col: Column, pattern: str) -> Column:
     return F.regexp_replace(col, unicode(pattern), "")
 

@@ -100,12 +100,12 @@ def place(html: Column, titre: Column, entreprise: Column) -> Column:
     def other(text: Column) -> Column:
         return (text != titre) & (text != entreprise)
 
-    labelled = F.filter(_texts(html, *[(p, 2) for p in PLACES]), lambda t: other(t) & (t != "France"))
+    labelled = F.nullif(_head(F.filter(_texts(html, *[(p, 2) for p in PLACES]), other)), F.lit("France"))
     spans = F.filter(
         F.transform(_all(html, SPAN), plain),
         lambda s: (F.char_length(s) > 2) & (F.char_length(s) < 35) & ~s.contains("€") & other(s) & ~s.rlike(r"(?U)^\d"),
     )
-    return F.coalesce(_head(labelled), _head(spans), F.lit("France"))
+    return F.coalesce(labelled, _head(spans), F.lit("France"))
 
 
 def description(html: Column) -> Column:
