@@ -22,7 +22,7 @@ from offermart.operators.star import load_summary as summary
 from offermart.plans import daily, layers, report
 from offermart.session import shared_dir
 from offermart.sinks import to_messages
-from offermart.sources import conform, parse_offers, stream_bronze
+from offermart.sources import conform, parse_offers, spread, stream_bronze
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
@@ -209,7 +209,7 @@ _LINK = r"regexp_extract(html, '(?is)<a\b[^>]*href=[" + '"' + r"'']([^" + '"' +
 )
 def page_fields(spark, sf_dir):
     """Fields of the given pages, whose title is the main heading."""
-    found = pages.details(pages.cards(table(spark, sf_dir, "pages").drop("url"), page_heading=True))
+    found = pages.details(pages.cards(spread(table(spark, sf_dir, "pages").drop("url"), "page_id"), page_heading=True))
     names = {"_titre": "titre", "_url": "url", "_id": "id", "_lieu": "lieu", "_entreprise": "entreprise"}
     return found.select("page_id", *[F.col(c).alias(n) for c, n in names.items()], "description")
 

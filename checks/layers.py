@@ -11,6 +11,7 @@ from offermart import vocab as V
 from offermart.functions import labels, skills, text
 from offermart.operators import dedup
 from offermart.plans import layers
+from offermart.sources import spread
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +135,7 @@ DOC_TERMS = {"license": "license", "mit": "mit", "apache": "apache", "the": "the
     f"array_to_string({L.substring_list('text', list(DOC_TERMS))}, '|') AS fragments FROM documents"
 )
 def doc_terms(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id",
         F.array_join(skills.extract_skills(F.col("text"), DOC_TERMS), "|").alias("mots"),
         F.array_join(skills.extract_skills(F.col("text"), list(DOC_TERMS)), "|").alias("fragments"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offermart.session import shared_dir
+from offermart.sources import spread
 
 RUN_AT = dt.datetime(2024, 2, 1, 6, 0, 0)
 
@@ -95,7 +96,7 @@ def _places(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame
 
 def offers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = _places(spark, sf_dir, table(spark, sf_dir, "customer"))
-    rows = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    rows = spread(table(spark, sf_dir, "orders"), "o_orderkey").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return rows.select(*[F.expr(sql).alias(name) for name, sql in OFFERS.items()])
 
 

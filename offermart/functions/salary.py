@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from offermart import vocab as V
-from offermart.functions.text import any_case, unicode
+from offermart.functions.text import any_case, let, unicode
 
 # Bounds above this are yearly pay.
 YEARLY_ABOVE = 10000
@@ -39,7 +39,8 @@ def first_amount(text: Column, rules: list[tuple[str, str]], flag=unicode) -> Co
 
 
 def salary_from_text(col: Column, source: str) -> Column:
-    return first_amount(F.lower(col), V.SALARY_TEXT_W if source == V.W else V.SALARY_TEXT_F)
+    rules = V.SALARY_TEXT_W if source == V.W else V.SALARY_TEXT_F
+    return let(F.lower(col), lambda lower: first_amount(lower, rules))
 
 
 def salary_from_title(col: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from offermart import vocab as V
 from offermart.functions.labels import lookup
-from offermart.functions.text import unicode, whole_words
+from offermart.functions.text import let, unicode, whole_words
 
 SEPARATORS = r"[-\s/]+"
 
@@ -41,9 +41,11 @@ def find_words(text: Column, vocabulary: dict[str, str]) -> Column:
 
 def find_substrings(text: Column, terms: list[str]) -> Column:
     """Sorted terms that occur anywhere in the lower-cased text (so ``r`` is found in any word holding an r)."""
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    hits = F.array(*[F.when(lower.contains(t.lower()), F.lit(t)) for t in sorted(terms)])
-    return F.array_compact(hits)
+
+    def hits(lower: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(lower.contains(t.lower()), F.lit(t)) for t in sorted(terms)]))
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), hits)
 
 
 def extract_skills(text: Column, vocabulary: dict[str, str] | list[str], mode: str | None = None) -> Column:

@@ -19,6 +19,11 @@ def any_case(pattern: str) -> str:
     return "(?iU)" + pattern
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` reads it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def whole_words(*bodies: str) -> str:
     """Pattern of any of the bodies, standing as whole words. Look-arounds run faster than ``\\b`` and cut at the same
     places; a body that starts with a sign needs a word character before it, as ``\\b`` would."""

@@ -29,6 +29,15 @@ def _coerce(df: DataFrame, field: T.StructField) -> Column:
     return F.col(field.name).try_cast(field.dataType)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than that; large inputs are left as they are.
+
+    For small files whose rows cost much work. The rows go by the hash of ``key``, so a retried task gets the same ones.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_bronze_with_rejects(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """Offers below ``path`` and the unreadable records, told apart instead of failing the run.
 
