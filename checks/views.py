@@ -96,8 +96,8 @@ def _places(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame
 
 def offers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = _places(spark, sf_dir, table(spark, sf_dir, "customer"))
-    rows = spread(table(spark, sf_dir, "orders"), "o_orderkey").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return rows.select(*[F.expr(sql).alias(name) for name, sql in OFFERS.items()])
+    rows = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return spread(rows, "o_orderkey").select(*[F.expr(sql).alias(name) for name, sql in OFFERS.items()])
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
