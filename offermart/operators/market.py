@@ -50,7 +50,9 @@ def _cards_of_few(star: Star, few: DataFrame) -> DataFrame:
     skills = skills_of(links, star.competences)
     names = star.entreprises.withColumnRenamed("nom", "entreprise")
     ids = F.broadcast(few.select("id_entreprise").distinct())
-    cards = few.join(names.join(ids, "id_entreprise"), "id_entreprise", "left").join(skills, "id_offre", "left")
+    # Both lookups hold at most one row per row of ``few``.
+    few_names = F.broadcast(names.join(ids, "id_entreprise"))
+    cards = few.join(few_names, "id_entreprise", "left").join(F.broadcast(skills), "id_offre", "left")
     listed = F.coalesce("competences", F.array().cast("array<string>"))
     return cards.withColumn("competences", listed).withColumn("score_match", display_score(F.size("competences")))
 
