@@ -12,7 +12,7 @@ from checks import sql_layers as L
 from checks.views import CANDIDATES_CTE, candidate_skills, candidates, offers_raw, query, stored, table
 from offermart.operators import dedup, market
 from offermart.operators import star as S
-from offermart.sinks import write_star
+from offermart.sinks import load_star
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> S.Star:
     """The star schema, loaded from Gold and read back."""
-    path = stored(spark, sf_dir, "star", lambda p: write_star(S.build_star(gold(spark, sf_dir)), p))
+    path = stored(spark, sf_dir, "star", lambda p: load_star(gold(spark, sf_dir), p))
     return S.read_star(spark, path)
 
 
@@ -230,11 +230,9 @@ def by_location(spark, sf_dir):
     return market.by_location(warehouse(spark, sf_dir).offres)
 
 
-@query(f"{L.RAW} SELECT query_recherche, count(DISTINCT id) AS count FROM offers_raw WHERE source = 'adzuna' GROUP BY 1")
+@query(f"{L.WITH_GREEDY} SELECT query_recherche, count(*) AS count FROM offers_raw WHERE ord IN (SELECT ord FROM greedy) GROUP BY 1")
 def by_keyword(spark, sf_dir):
-    rows = offers_raw(spark, sf_dir).filter(F.col("source") == "adzuna")
-    # Keywords follow the customer and so does the id here only within a keyword: unique per (id, keyword).
-    return market.by_keyword(rows.dropDuplicates(["id", "query_recherche"]))
+    return market.by_keyword(dedup.greedy_unique(offers_raw(spark, sf_dir)))
 
 
 @query(

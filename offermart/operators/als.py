@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offermart.operators.keys import dense_keys
+
 
 def best_scores(df: DataFrame, user: str, item: str, score: str) -> DataFrame:
     """Greatest score per user and item, as ``user_id, offre, score``."""
@@ -15,11 +16,13 @@ def best_scores(df: DataFrame, user: str, item: str, score: str) -> DataFrame:
 
 
 def ratings(recommendations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ratings ``(user_id, offre_id, score)`` from recommendation rows, and the offers behind the integer ids."""
+    """Ratings ``(user_id, offre_id, score)`` from recommendation rows, and the offers behind the integer ids.
+
+    Ids count from 0 in the order of the offers. They are dense keys, so no list of offers goes through the driver.
+    """
     scored = best_scores(recommendations, "id_utilisateur", "id_offre", "score_recommandation")
-    indexer = StringIndexer(inputCol="offre", outputCol="_i", stringOrderType="alphabetAsc").fit(scored)
-    indexed = indexer.transform(scored).withColumn("offre_id", F.col("_i").cast("int"))
-    return indexed.select("user_id", "offre_id", "score"), indexed.select("offre_id", "offre").distinct()
+    ids = dense_keys(scored.select("offre").distinct(), "offre", "offre_id", start=-1)
+    return scored.join(ids, "offre").select("user_id", "offre_id", "score"), ids
 
 
 def train(rows: DataFrame, seed: int = 42, rank: int = 10) -> ALSModel:

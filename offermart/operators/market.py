@@ -246,12 +246,15 @@ def means(gold: DataFrame) -> DataFrame:
 
 
 def user_skills(users: DataFrame, skills: DataFrame) -> DataFrame:
-    """Skills of every user, sorted; a user without any gets a list that holds one null."""
-    joined = users.join(skills.select("id_utilisateur", "nom_competence"), "id_utilisateur", "left")
-    listed = F.collect_list(F.struct("nom_competence"))
-    return joined.groupBy("id_utilisateur").agg(
-        F.transform(F.array_sort(listed), lambda s: s["nom_competence"]).alias("competences")
-    )
+    """Skills of every user, sorted, repeats kept; a user without any gets a list that holds one null.
+
+    Repeats are counted before a user's rows meet, so only distinct skills travel.
+    """
+    counted = skills.groupBy("id_utilisateur", "nom_competence").agg(F.count("*").cast("int").alias("n"))
+    joined = users.join(counted, "id_utilisateur", "left")
+    listed = F.array_sort(F.collect_list(F.struct("nom_competence", F.coalesce("n", F.lit(1)).alias("n"))))
+    repeated = F.flatten(F.transform(listed, lambda s: F.array_repeat(s["nom_competence"], s["n"])))
+    return joined.groupBy("id_utilisateur").agg(repeated.alias("competences"))
 
 
 def skill_users(skills: DataFrame) -> DataFrame:

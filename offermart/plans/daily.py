@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from offermart import schemas as S
 from offermart import vocab as V
-from offermart.operators.star import Star, build_star, read_star, split_rejects
+from offermart.operators.star import Star, split_rejects
 from offermart.plans.layers import GOLD_COLUMNS, SILVER_COLUMNS, gold, union_sources
-from offermart.sinks import write_bronze, write_layer, write_star
+from offermart.sinks import load_star, write_bronze, write_layer
 from offermart.sources import conform, path_exists, read_bronze, read_gold_for_day
 
 
@@ -43,8 +43,7 @@ def gold_of_day(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
 def load_day(spark: SparkSession, root: str, day: dt.date) -> tuple[Star, DataFrame]:
     """Full refresh of the star schema from the Gold of a day; returns it with the rejected rows."""
     valid, rejects = split_rejects(gold_of_day(spark, root, day))
-    write_star(build_star(valid), f"{root}/star")
-    return read_star(spark, f"{root}/star"), rejects
+    return load_star(valid, f"{root}/star"), rejects
 
 
 def run_day(spark: SparkSession, root: str, run_at: dt.datetime, offers: dict[str, DataFrame] | None = None,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offermart.functions.values import at
+from offermart.operators.star import Star, bridge, company_dimension, fact_offers, skill_dimension
 from offermart.sources import topic_of
 
 
@@ -29,13 +30,29 @@ def write_layer(df: DataFrame, path: str, run_at: dt.datetime) -> None:
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def write_star(star, path: str) -> None:
-    """Full refresh: every table of the warehouse is replaced. Dimensions first, the fact and the bridge after."""
+def _replace(table: DataFrame, path: str) -> DataFrame:
+    table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def load_star(gold: DataFrame, path: str, order: str = "ord") -> Star:
+    """Full refresh: every table of the warehouse is replaced.
+
+    Dimensions are written first and read back to resolve the keys of the fact and the bridge, so keys are made once.
+    """
+    companies = _replace(company_dimension(gold), f"{path}/entreprises")
+    skills = _replace(skill_dimension(gold), f"{path}/competences")
+    offers = _replace(fact_offers(gold, companies, order), f"{path}/offres")
+    return Star(companies, skills, offers, _replace(bridge(gold, skills), f"{path}/offre_competence"))
+
+
+def write_star(star: Star, path: str) -> None:
+    """The tables of a star schema as they are, for instance an incremental one."""
     for name, table in star.tables().items():
-        table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{name}")
+        _replace(table, f"{path}/{name}")
 
 
-def write_star_jdbc(star, url: str, properties: dict | None = None) -> None:
+def write_star_jdbc(star: Star, url: str, properties: dict | None = None) -> None:
     """The same tables through JDBC; needs a driver on the class path."""
     for name, table in star.tables().items():
         table.write.jdbc(url, f"gold.{name}", mode="overwrite", properties=properties or {})
