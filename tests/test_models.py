@@ -160,3 +160,61 @@ def test_bronze_files_lists_objects_and_broken(spark, tmp_path):
 def test_cv_text_drops_bad_bytes(spark, tmp_path):
     (tmp_path / "jean.txt").write_bytes(b"Python\xff\n  et\tSQL")
     assert [tuple(r) for r in read_cvs(spark, str(tmp_path)).collect()] == [("jean", "Python et SQL")]
+
+
+def test_term_vectors_rank_like_a_full_comparison(spark):
+    import numpy as np
+
+    rng = random.Random(11)
+    words = ["python", "sql", "spark", "équipe", "mission", "lyon", "cloud"]
+    texts = [(f"o{i}", " ".join(rng.choice(words) for _ in range(rng.randrange(1, 30))), ["Python", "SQL"]) for i in range(80)]
+    offers = spark.createDataFrame(texts, "id_offre string, texte string, competences array<string>").withColumns(
+        {"ville": F.lit("Lyon"), "type_contrat": F.lit("CDI")}
+    )
+    users = spark.createDataFrame(
+        [(1, ["python"]), (2, ["sql"]), (3, ["python", "sql"])], "id_utilisateur long, competences array<string>"
+    ).withColumns({"ville": F.lit("Lyon"), "contrat": F.lit("CDI")})
+    encoder = match.TermEncoder(dims=64).fit(offers, F.col("texte"))
+    users = encoder.transform(users, F.array_join("competences", " "))
+    offers = encoder.transform(offers, F.col("texte"))
+    got = {(r.id_utilisateur, r.id_offre, r.score_match) for r in match.match_top(users, offers, 3).collect()}
+
+    def unit(v):
+        v = np.array(v, dtype=float)
+        return v / (np.linalg.norm(v) or 1)
+
+    want = set()
+    for u in users.collect():
+        scored = []
+        for o in offers.collect():
+            cos = float(unit(u.vecteur) @ unit(o.vecteur))
+            final = 0.5 * cos + 0.35 * len(u.competences) / 2 + 0.15
+            scored.append((-round(round(final * 100, 6), 1), o.id_offre))
+        want |= {(u.id_utilisateur, o, -s) for s, o in sorted(scored)[:3]}
+    assert got == want
+
+
+def test_encoder_model_runs_in_batches(spark):
+    df = spark.createDataFrame([("a",), ("bbb",), (None,)], "t string")
+
+    def load():
+        return lambda texts: [[float(len(t)), 1.0] for t in texts]
+
+    assert sorted(r.vecteur for r in match.encode(df, "t", load).collect()) == [[0.0, 1.0], [1.0, 1.0], [3.0, 1.0]]
+
+
+def test_als_ranks_and_is_saved(spark, tmp_path):
+    from pyspark.ml.recommendation import ALSModel
+
+    from offermart.operators import als
+    from offermart.sinks import save_model
+
+    rows = [(u, f"o{i}", float((u + i) % 5)) for u in range(8) for i in range(12) if (u * i) % 3]
+    scored = spark.createDataFrame(rows * 2, "id_utilisateur long, id_offre string, score_recommandation double")
+    ratings, ids = als.ratings(scored)
+    assert ratings.count() == len(rows) and ids.count() == len({o for _, o, _ in rows})
+    model = als.train(ratings)
+    top = als.top_offers(model, 3).collect()
+    assert {r.rang for r in top} == {1, 2, 3} and len(top) == 3 * ratings.select("user_id").distinct().count()
+    save_model(model, str(tmp_path / "model"))
+    assert ALSModel.load(str(tmp_path / "model")).rank == 10
