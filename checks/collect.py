@@ -345,7 +345,7 @@ def stream_upsert(spark, sf_dir):
     """Gold files loaded batch by batch, in several micro-batches."""
     schema = W.gold(spark, sf_dir).schema
     source = stored(spark, sf_dir, "gold", lambda p: None)
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(source)
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(source)
     path = _fresh(spark, "upsert")
     streaming.upsert(rows, path, f"{path}/state").start().awaitTermination()
     fact = streaming.read_upserted(spark, path).offres
