@@ -1,4 +1,4 @@
 """All queries of the subpackage, in the order of their numbers."""
 
-from offermart.llm import diagonals, packing, postings, quality, ring, simhash, toxicity  # noqa: F401
+from offermart.llm import diagonals, packing, postings, quality, ring, simhash, toxicity, wrapper  # noqa: F401
 from offermart.llm.registry import ORACLES, QUERIES  # noqa: F401
