@@ -1,6 +1,6 @@
 """All queries of the subpackage, in the order of their numbers."""
 
 from offermart.llm import (  # noqa: F401
-    diagonals, lattice, packing, postings, quality, ring, simhash, toxicity, wrapper,
+    diagonals, lattice, packing, postings, quality, ring, rollup, simhash, toxicity, wrapper,
 )
 from offermart.llm.registry import ORACLES, QUERIES  # noqa: F401
