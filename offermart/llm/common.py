@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offermart.session import cut_lineage, shared_dir
@@ -14,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def identity(id_col: str, text_col: str) -> list[Column]:
+    """``r1, r2``: 128 bits that name a row by its id and text. Rows equal in both share them; null is an empty text."""
+    key, text = F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return [F.xxhash64(key, text).alias("r1"), F.xxhash64(text, key).alias("r2")]
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share."""
     return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex[:12]}/{name}"

@@ -14,7 +14,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offermart.llm.common import stored, table
+from offermart.llm.common import identity, stored, table
 from offermart.llm.postings import LOWER, UPPER, words
 from offermart.llm.registry import query
 
@@ -78,12 +78,11 @@ def spans(
     spark = docs.sparkSession
     rows = template_pairs(base, notices)
     known = _templates(spark, rows).withColumn("h", F.xxhash64("a", "b"))  # a few rows for each template given
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     w = words(F.col(text_col))
     # The last word is paired with null; its position tells the number of words. A row without words has no pair at all.
     paired = F.zip_with(w, F.slice(F.array_append(w, F.lit(None)), 2, F.size(w)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     grams = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("r1"), F.xxhash64(text, F.col(id_col)).alias("r2"),
+        F.col(id_col).alias("id"), *identity(id_col, text_col),
         F.posexplode_outer(paired).alias("pos", "pair"),
     ).select("id", "r1", "r2", "pos", F.col("pair.a").alias("wa"), F.col("pair.b").alias("wb"))
     grams = grams.withColumn("hash", F.xxhash64("wa", "wb"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offermart.llm.common import stored, table
+from offermart.llm.common import identity, stored, table
 from offermart.llm.registry import query
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -49,9 +49,8 @@ def index(docs: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str) ->
 
     ``r1, r2`` identify a row by its id and text: equal rows share their postings' keys and have equal results.
     """
-    key, text = F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
-        key.alias("id"), F.xxhash64(key, text).alias("r1"), F.xxhash64(text, key).alias("r2"),
+        F.col(id_col).alias("id"), *identity(id_col, text_col),
         F.posexplode(F.array_append(words(F.col(text_col)), F.lit(END))).alias("pos", "word"),
     )
     return stored(rows.join(_small(vocabulary), "word").drop("word"), "postings")
@@ -118,7 +117,7 @@ def matches(
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, **columns: str) -> DataFrame:
-    """``(id, n_words, n_hit, n_items, items, contaminated)`` per row: the words inside any occurrence of a window.
+    """``(id, r1, r2, n_words, n_hit, n_items, items, contaminated)`` per row: the words inside any occurrence of a window.
 
     ``items`` are the ids of the items with an occurring window, as sorted strings; empty if there is none.
     """
@@ -130,13 +129,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, **col
     items = items.groupBy("r1", "r2").agg(F.array_sort(F.collect_set("item")).alias("items"))
     out = rows.join(covered.join(items, ["r1", "r2"]), ["r1", "r2"], "left")
     return out.select(
-        "id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        "id", "r1", "r2", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, length: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without any occurrence of a benchmark window."""
+    found = contamination(docs, benchmark, length, id_col=id_col, text_col=text_col).where("contaminated")
+    r1, r2 = identity(id_col, text_col)
+    known = found.select(F.col("r1").alias("_r1"), F.col("r2").alias("_r2")).distinct()
+    return docs.withColumns({"_r1": r1, "_r2": r2}).join(known, ["_r1", "_r2"], "left_anti").select(*docs.columns)
+
+
 _OP8_SQL = rf"""
 WITH w AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

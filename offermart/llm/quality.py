@@ -129,10 +129,13 @@ def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
 
 
 def quality(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7
+    docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7,
+    carry: bool = False,
 ) -> DataFrame:
     """``(id, held_out, score, predicted)`` per row: the calibrated probability that the label is 1.
 
+    With ``carry`` a last column ``row`` holds all columns of ``docs``, so that filtering by the score needs no join.
+
     Vectors come from all rows; the network from labelled rows outside the held-out fold. Null and empty texts are scored
     as a text of one end mark. Without labels of both kinds every score is the base rate. Rows repeat as they come.
     """
@@ -153,15 +156,16 @@ def quality(
     network = spark.sparkContext.broadcast(Network().fit(x, fitted["y"].to_numpy(dtype=float)))
 
     rows = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"),
+        *[F.struct(*docs.columns).alias("row")] * carry,
     )
-    schema = rows.select("id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
+    schema = rows.select("id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *["row"] * carry).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = network.value.predict(pooled([t.as_py() for t in batch.column(2)], vectors.value))
-            out = [batch.column(0), batch.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(out, names=["id", "held_out", "score", "predicted"])
+            out = [batch.column(0), batch.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32)), *batch.columns[3:]]
+            yield pa.RecordBatch.from_arrays(out, names=["id", "held_out", "score", "predicted", *["row"] * carry])
 
     return rows.mapInArrow(score, schema)
 

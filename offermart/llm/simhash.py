@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offermart.llm.common import components, stored, table
+from offermart.llm.common import components, identity, stored, table
 from offermart.llm.registry import query
 
 BLOCK_ROWS = 8192  # fingerprints of one tree
@@ -46,15 +46,15 @@ def text_fingerprint(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` per row; ``fp`` holds the 64 bits as a signed long. Rows, ids and texts may repeat or be null."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    schema = rows.select("id", F.lit(0).cast("long").alias("fp")).schema
+    """``(id, r1, r2, fp)`` per row; ``fp`` holds the 64 bits as a signed long. Rows, ids and texts may repeat or be null."""
+    rows = docs.select(F.col(id_col).alias("id"), *identity(id_col, text_col), F.col(text_col).cast("binary").alias("text"))
+    schema = rows.select("id", "r1", "r2", F.lit(0).cast("long").alias("fp")).schema
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(3)
             fps = np.array([text_fingerprint(texts[i].as_py(), shingle) for i in range(len(texts))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps.view(np.int64))], names=["id", "r1", "r2", "fp"])
 
     return rows.mapInArrow(scan, schema)
 
@@ -226,7 +226,7 @@ def _turn_back(bits: np.ndarray, by: np.uint64) -> np.ndarray:
 def near_copies(
     docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(id, fp, component)`` per row: ``component`` is the smallest id reachable over links of at most ``max_bits`` bits.
+    """``(id, r1, r2, fp, component)`` per row: ``component`` is the smallest id reachable over links of at most ``max_bits`` bits.
 
     Texts without words have fingerprint zero and are linked like any other. A null id gets its group's smallest id; null
     if the group has none. Repeated rows come back as often as they went in. Other columns are ignored. An empty
@@ -240,7 +240,22 @@ def near_copies(
     grouped = smallest.join(tied, F.col("fp") == F.col("node"), "left")
     grouped = grouped.select("fp", "least", F.coalesce("component", "fp").alias("root"))
     named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component")), "root")
-    return printed.join(named.select("fp", "component"), "fp").select("id", "fp", "component")
+    return printed.join(named.select("fp", "root", "component"), "fp").select("id", "r1", "r2", "fp", "root", "component")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one row of each group of near copies: the smallest id, of equal ids the smallest hash.
+
+    Rows without id come last; of rows that are equal in id and text one stays.
+    """
+    found = near_copies(docs, shingle, max_bits, id_col, text_col)
+    best = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "r1", "r2")).alias("best")
+    chosen = found.groupBy("root").agg(best).select("best.r1", "best.r2")
+    r1, r2 = identity(id_col, text_col)
+    named = docs.withColumns({"_r1": r1, "_r2": r2}).join(
+        chosen.select(F.col("r1").alias("_r1"), F.col("r2").alias("_r2")), ["_r1", "_r2"], "left_semi"
+    )
+    return named.dropDuplicates(["_r1", "_r2"]).select(*docs.columns)
 
 
 @query()

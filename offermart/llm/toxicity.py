@@ -213,10 +213,13 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5,
+    carry: bool = False,
 ) -> DataFrame:
     """``(id, held_out, score, predicted)`` per row: the probability that the label is 1.
 
+    With ``carry`` a last column ``row`` holds all columns of ``docs``, so that filtering by the score needs no join.
+
     Lexicon and weights come from labelled rows outside the held-out fold. Null and empty texts have no hits. Without
     labels of both kinds every score is the base rate. Rows repeat as they come.
     """
@@ -236,16 +239,17 @@ def toxicity(
     weights = fit_logistic(np.repeat(x, times, axis=0), np.repeat(measured["y"].to_numpy(dtype=float), times))
 
     rows = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"),
+        *[F.struct(*docs.columns).alias("row")] * carry,
     )
-    schema = rows.select("id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
+    schema = rows.select("id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *["row"] * carry).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([features(t.as_py(), lexicon.value) for t in batch.column(2)]).reshape(-1, 5)
             p = sigmoid(x @ weights[:-1] + weights[-1])
-            out = [batch.column(0), batch.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(out, names=["id", "held_out", "score", "predicted"])
+            out = [batch.column(0), batch.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32)), *batch.columns[3:]]
+            yield pa.RecordBatch.from_arrays(out, names=["id", "held_out", "score", "predicted", *["row"] * carry])
 
     return rows.mapInArrow(score, schema)
 
