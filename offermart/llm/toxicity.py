@@ -1,8 +1,8 @@
 """Toxicity scores: a learned lexicon, Levenshtein automata over its trie, and the context of each hit.
 
-The lexicon holds words that stand in many different contexts of toxic training documents and hardly in clean ones. Counting
-contexts instead of documents keeps copies of one document from making all its words toxic. Beginnings that many such words
-and no clean words share are stems. A Levenshtein automaton, run on the trie of the lexicon, accepts words a few edits away; words
+The lexicon holds words that many toxic training documents use and hardly any clean ones. Families of copies are counted
+instead of documents, so that copies of one do not make all its words toxic. Beginnings of several words for which the same
+holds are stems. A Levenshtein automaton, run on the trie of the lexicon, accepts words a few edits away; words
 that clean training documents use are taken out again. Every hit is then read in its window: between quotation marks
 or behind a word of reporting it counts as quoted, else as abuse. A logistic model weighs the counts.
 """
@@ -10,6 +10,7 @@ or behind a word of reporting it counts as quoted, else as abuse. A logistic mod
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +23,9 @@ from offermart.llm.common import stored, table
 from offermart.llm.models import fit_logistic, fold, labelled, sigmoid
 from offermart.llm.registry import query
 
-MIN_CONTEXTS, MIN_SHARE = 5, 0.9  # different toxic contexts of a lexicon word; their share of all its contexts
-STEM_LENGTHS, STEM_WORDS = range(4, 9), 4  # letters of a stem; lexicon words that must begin with it
-MAX_TERMS = 5_000  # bound of the lexicon: the words with most toxic contexts
+MIN_FAMILIES, MIN_SHARE = 5, 0.9  # toxic families that use a term or stem; their share of all families that do
+STEM_LENGTHS, STEM_WORDS = range(4, 9), 3  # letters of a stem; words of toxic documents that must begin with it
+MAX_TERMS = 5_000  # bound of the lexicon: the words with most toxic families
 ONE_EDIT_FROM, TWO_EDITS_FROM = 4, 8  # lengths of terms from which so many edits are allowed
 REACH, CUE_WORDS = 80, 6  # letters of the window on each side of a hit; words before it that are searched for a cue
 REMEMBERED = 300_000  # words whose answer a worker remembers
@@ -176,40 +177,73 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     return [*np.log1p(counts), float(np.log1p(in_quotes)), float(np.log1p(100 * sum(counts) / len(words)))]
 
 
+def _grams(words: set[str]) -> set[str]:
+    """The words, and their beginnings marked by a dash."""
+    return words | {f"{w[:n]}-" for w in words for n in STEM_LENGTHS if len(w) > n}
+
+
+def _family(words: set[str]) -> int:
+    """The smallest word hash of a document: the same for nearly all its copies and near copies."""
+    return min(zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words)
+
+
+def _word_sets(pdf: pd.DataFrame) -> Iterator[set[str]]:
+    for text in pdf["text"]:
+        words = set(_WORD.findall(text.lower())) if isinstance(text, str) else set()
+        if words:
+            yield words
+
+
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """The lexicon of labelled rows ``(id, text, y)``. Counting is a Spark job; terms and stems are bounded."""
+    """The lexicon of labelled rows ``(id, text, y)``, which are bounded; the counting is done by Spark."""
+    toxic, clean = sample.where("y >= 0.5").select("text"), sample.where("y < 0.5").select("text")
 
-    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(g, _family(words)) for words in _word_sets(pdf) for g in _grams(words)]
+            yield pd.DataFrame(rows, columns=["gram", "family"])
+
+    seen = toxic.mapInPandas(spread, "gram string, family long").groupBy("gram").agg(F.count_distinct("family").alias("bad"))
+    seen = stored(seen, "toxicity-grams")
+    words = seen.where("gram NOT LIKE '%-'")
+    heads = words.select(F.explode(F.array(*[F.when(F.length("gram") > n, F.substring("gram", 1, n)) for n in STEM_LENGTHS])).alias("head"))
+    heads = heads.where("head IS NOT NULL").groupBy(F.concat("head", F.lit("-")).alias("gram")).agg(F.count("*").alias("words"))
+    common = seen.where(F.col("bad") >= MIN_FAMILIES).join(heads, "gram", "left")
+    common = common.where(F.coalesce("words", F.lit(STEM_WORDS)) >= STEM_WORDS).where("length(gram) >= 3")
+    bad = {r["gram"]: r["bad"] for r in common.collect()}
+    # So many clean families a gram may have; one more and it is out.
+    most = {gram: int(n * (1 - MIN_SHARE) / MIN_SHARE) for gram, n in bad.items()}
+
+    def count_clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        families: dict[str, set[int]] = {}
         for pdf in batches:
-            seen = set()
-            for text, y in zip(pdf["text"], pdf["y"]):
-                words = _WORD.findall(text.lower()) if isinstance(text, str) else []
-                seen.update(zip(words, ["", *words], [y >= 0.5] * len(words)))
-            yield pd.DataFrame(list(seen), columns=["word", "before", "toxic"])
-
-    pairs = sample.mapInPandas(contexts, "word string, before string, toxic boolean")
-    pairs = pairs.groupBy("word", "before").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("only"))
-    words = pairs.groupBy("word").agg(F.count_if("toxic").alias("bad"), F.count_if(~F.col("only")).alias("good"))
-    words = stored(words, "toxicity-words")
-    chosen = words.where((F.col("bad") >= MIN_CONTEXTS) & (F.col("bad") >= MIN_SHARE * (F.col("bad") + F.col("good"))))
-    chosen = chosen.where(F.length("word") >= 3).orderBy(F.col("bad").desc(), "word").limit(MAX_TERMS)
-    terms = sorted(r["word"] for r in chosen.collect())
-    begins = pd.Series([t[:n] for t in terms for n in STEM_LENGTHS if len(t) > n]).value_counts()
-    stems = sorted(begins.index[begins >= STEM_WORDS]) if len(begins) else []
-    cleanly = words.where("good > 0")
-    if stems:
-        heads = cleanly.select(F.explode(F.array(*[F.substring("word", 1, n) for n in STEM_LENGTHS])).alias("head"))
-        used = {r["head"] for r in heads.where(F.col("head").isin(stems)).distinct().collect()}
-        stems = [s for s in stems if s not in used]
+            for words in _word_sets(pdf):
+                for gram in _grams(words) & most.keys():
+                    known = families.setdefault(gram, set())
+                    if len(known) <= most[gram]:
+                        known.add(_family(words))
+        yield pd.DataFrame([(g, f) for g, known in families.items() for f in known], columns=["gram", "family"])
+
+    good = clean.mapInPandas(count_clean, "gram string, family long").groupBy("gram").agg(F.count_distinct("family").alias("n"))
+    out = {r["gram"] for r in good.collect() if r["n"] > most[r["gram"]]} if most else set()
+    chosen = sorted((g for g in bad if g not in out), key=lambda g: (-bad[g], g))
+    terms = [g for g in chosen if not g.endswith("-")][:MAX_TERMS]
+    stems: list[str] = []
+    for gram in sorted((g for g in chosen if g.endswith("-")), key=lambda g: (len(g), g)):
+        if not gram[:-1].startswith(tuple(stems)):
+            stems.append(gram[:-1])
     first = Lexicon(terms, [])
 
     def nearby(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: set[str] = set()
         for pdf in batches:
-            yield pdf[[first.near(w) for w in pdf["word"]]]
+            for words in _word_sets(pdf):
+                known.update(w for w in words if w not in first.terms and first.kind(w) is not None)
+        yield pd.DataFrame({"word": sorted(known)}, dtype=object)
 
     # Clean words close to a term: bounded by the sample, and few.
-    clean = cleanly.select("word").mapInPandas(nearby, "word string").collect() if terms else []
-    return Lexicon(terms, stems, {r["word"] for r in clean} - set(terms))
+    near = clean.mapInPandas(nearby, "word string").distinct().collect() if terms else []
+    return Lexicon(terms, stems, {r["word"] for r in near})
 
 
 def toxicity(

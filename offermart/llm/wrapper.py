@@ -38,6 +38,7 @@ BLOCK = set(
 NEVER = set("nav footer aside form menu dialog fieldset head title".split())
 SLOTS = set("article main".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+REPEATED = HEADINGS | set("blockquote dd dt figure li p pre td th tr".split())
 # Start tags that end an open element of the same group within the nearest container.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
@@ -142,10 +143,10 @@ def parse(source: str | None) -> Page:
 def outline(page: Page) -> tuple[str, list[int], list[str]]:
     """The page's shape, for each of its nodes the position in the shape, and the text at each position.
 
-    Neighbours with equal labels are one position, and so is all that lies below them or below ``DEPTH`` levels.
+    Neighbouring paragraphs, entries and the like with equal labels are one position, and so is all that lies below
+    them or below ``DEPTH`` levels.
     """
     where, texts, shape = [0] * len(page.nodes), [], []
-    inside = [0] * len(page.nodes)  # 1 below a repeated node
 
     def put(group: list[int], depth: int) -> None:
         position = len(texts)
@@ -157,7 +158,6 @@ def outline(page: Page) -> tuple[str, list[int], list[str]]:
             while todo:
                 n = todo.pop()
                 where[n] = position
-                inside[n] = 1
                 todo += page.nodes[n].children
             return
         node = group[0]
@@ -167,8 +167,8 @@ def outline(page: Page) -> tuple[str, list[int], list[str]]:
             shape.append("(")
             at = 0
             while at < len(children):
-                end = at + 1
-                while end < len(children) and page.nodes[children[end]].label == page.nodes[children[at]].label:
+                end, first = at + 1, page.nodes[children[at]]
+                while first.tag in REPEATED and end < len(children) and page.nodes[children[end]].label == first.label:
                     end += 1
                 put(children[at:end], depth + 1)
                 at = end
@@ -181,8 +181,8 @@ def outline(page: Page) -> tuple[str, list[int], list[str]]:
 
 
 @lru_cache(maxsize=4096)
-def shape_tree(shape: str) -> tuple[list[str], list[list[int]]]:
-    """Labels and children by position."""
+def shape_tree(shape: str) -> tuple[list[str], list[list[int]], list[str]]:
+    """Labels, children and the shape of the subtree by position."""
     labels, children, open_ = [], [], []
     for part in shape.split(" "):
         if part == "(":
@@ -194,13 +194,16 @@ def shape_tree(shape: str) -> tuple[list[str], list[list[int]]]:
                 children[open_[-1]].append(len(labels))
             labels.append(part)
             children.append([])
-    return labels, children
+    below = [""] * len(labels)
+    for at in range(len(labels) - 1, -1, -1):
+        below[at] = f"{labels[at]}({' '.join(below[c] for c in children[at])})"
+    return labels, children, below
 
 
 @lru_cache(maxsize=20_000)
 def align(shape: str, reference: str) -> tuple[int, ...]:
     """Simple tree matching: for each position of the shape the matched position of the reference, or -1."""
-    (a_labels, a_children), (b_labels, b_children) = shape_tree(shape), shape_tree(reference)
+    (a_labels, a_children, a_below), (b_labels, b_children, b_below) = shape_tree(shape), shape_tree(reference)
     same = lambda x, y: a_labels[x].rstrip("*") == b_labels[y].rstrip("*")
     known: dict[tuple[int, int], tuple[int, list]] = {}
 
@@ -209,6 +212,16 @@ def align(shape: str, reference: str) -> tuple[int, ...]:
         if (x, y) in known:
             return known[x, y]
         xs, ys = a_children[x], b_children[y]
+        # Equal subtrees at either end belong to some best matching; only what lies between them is tried out.
+        head = 0
+        while head < min(len(xs), len(ys)) and a_below[xs[head]] == b_below[ys[head]]:
+            head += 1
+        tail = 0
+        while tail < min(len(xs), len(ys)) - head and a_below[xs[-1 - tail]] == b_below[ys[-1 - tail]]:
+            tail += 1
+        ends = [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]
+        sure = sum(match(p, q)[0] for p, q in ends)
+        xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
         best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
         for i, p in enumerate(xs):
             for j, q in enumerate(ys):
@@ -223,7 +236,7 @@ def align(shape: str, reference: str) -> tuple[int, ...]:
             else:
                 i, j = i - 1, j - 1
                 pairs.append((xs[i], ys[j]))
-        known[x, y] = best[-1][-1] + 1, pairs
+        known[x, y] = best[-1][-1] + sure + 1, pairs + ends
         return known[x, y]
 
     out = [-1] * len(a_labels)
