@@ -200,7 +200,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(g, _family(words)) for words in _word_sets(pdf) for g in _grams(words)]
+            rows = [(g, family) for words in _word_sets(pdf) for family in [_family(words)] for g in _grams(words)]
             yield pd.DataFrame(rows, columns=["gram", "family"])
 
     seen = toxic.mapInPandas(spread, "gram string, family long").groupBy("gram").agg(F.count_distinct("family").alias("bad"))
@@ -218,10 +218,11 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         families: dict[str, set[int]] = {}
         for pdf in batches:
             for words in _word_sets(pdf):
+                family = _family(words)
                 for gram in _grams(words) & most.keys():
                     known = families.setdefault(gram, set())
                     if len(known) <= most[gram]:
-                        known.add(_family(words))
+                        known.add(family)
         yield pd.DataFrame([(g, f) for g, known in families.items() for f in known], columns=["gram", "family"])
 
     good = clean.mapInPandas(count_clean, "gram string, family long").groupBy("gram").agg(F.count_distinct("family").alias("n"))
