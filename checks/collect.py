@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 
 from checks import sql_layers as L
 from checks import warehouse as W
-from checks.views import RUN_AT, offers_raw, query, stored, table
+from checks.views import OFFERS, RUN_AT, offers_raw, query, spread, stored, table
 from offermart import schemas as S
 from offermart import streaming
 from offermart import vocab as V
 from offermart.operators import als, assistant, dedup, pages, raw
+from offermart.operators.keys import dense_keys
 from offermart.operators.star import load_summary as summary
 from offermart.plans import daily, layers, report
 from offermart.session import shared_dir
-from offermart.sinks import to_messages
-from offermart.sources import conform, parse_offers, spread, stream_bronze
+from offermart.sinks import to_messages, write_layer
+from offermart.sources import conform, parse_offers, read_gold_for_day, stream_bronze
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
@@ -116,11 +117,16 @@ def raw_flatten_f(spark, sf_dir):
     return _flat(raw.flatten_f(payloads, RUN_AT, keep=("ord",)))
 
 
-@query(f"{L.RAW} SELECT id, titre, source, salaire_min FROM offers_raw")
+NOT_IN_OFFERS = [f.name for f in S.BRONZE.fields if f.name not in OFFERS]
+
+
+@query(
+    f"{L.RAW} SELECT * EXCLUDE (ord), " + ", ".join(f"NULL::VARCHAR AS {c}" for c in NOT_IN_OFFERS) + " FROM offers_raw"
+)
 def messages_round_trip(spark, sf_dir):
-    """Offers encoded as topic messages and decoded again."""
+    """Offers encoded as topic messages and decoded again, in all their fields."""
     rows = conform(offers_raw(spark, sf_dir), S.BRONZE)
-    return parse_offers(to_messages(rows)).select("id", "titre", "source", "salaire_min")
+    return parse_offers(to_messages(rows)).withColumn("competences", F.array_join("competences", "|"))
 
 
 @query(
@@ -146,8 +152,8 @@ HTML = """'<li><img alt="cover"><img src="l.png" alt="' || coalesce(entreprise,
  '<a href="/fr/blog">blog</a><a aria-label="Consultez l&#39;offre ' || titre || '" href="' || CASE ord % 4 WHEN 0 THEN 'https://site.example' ELSE '' END ||
  CASE ord % 5 WHEN 0 THEN '/fr/jobs/' || id || '-x' ELSE '/fr/companies/co-' || (ord % 7) || '/jobs/' || id || '?q=1' END || '">voir</a>' ||
  CASE ord % 2 WHEN 0 THEN '<p data-testid="job-location">' || lieu || '</p>' ELSE '<span>12 j</span><span>4 k€</span><span>' || lieu || '</span>' END ||
- '<span>' || type_contrat || '</span></li><main><h1>x</h1>' || CASE ord % 3 WHEN 0 THEN '<section data-testid="job-description"><p>' || description
- || '</p></section>' WHEN 1 THEN '<article>' || description || '</article>' ELSE '<p>' || description || '</p>' END
+ '<span>' || type_contrat || '</span></li><main><h1>x</h1>' || CASE ord % 3 WHEN 0 THEN '<section data-testid="job-description"><section class="empty"></section><p>' || description
+ || '</p></section>' WHEN 1 THEN '<article><article> </article>' || description || '</article>' ELSE '<p>' || description || '</p>' END
  || CASE ord % 4 WHEN 0 THEN '<b>35K - 45K</b>' WHEN 1 THEN '<b>38 000 € - 42 000 €</b>' WHEN 2 THEN '<b>41 000 € / an</b>' ELSE '' END || '</main>'"""
 
 _BODY = r"trim(regexp_replace(description, '\s+', ' ', 'g'))"
@@ -209,7 +215,7 @@ _LINK = r"regexp_extract(html, '(?is)<a\b[^>]*href=[" + '"' + r"'']([^" + '"' +
 )
 def page_fields(spark, sf_dir):
     """Fields of the given pages, whose title is the main heading."""
-    found = pages.details(pages.cards(spread(table(spark, sf_dir, "pages").drop("url"), "page_id"), page_heading=True))
+    found = pages.details(pages.cards(spread(table(spark, sf_dir, "pages").drop("url"), "page_id"), page_heading=True), any_article=True)
     names = {"_titre": "titre", "_url": "url", "_id": "id", "_lieu": "lieu", "_entreprise": "entreprise"}
     return found.select("page_id", *[F.col(c).alias(n) for c, n in names.items()], "description")
 
@@ -323,9 +329,9 @@ def stream_silver(spark, sf_dir):
     return _drained(streaming.refined(arriving, V.F, RUN_AT).select(*names), spark, "silver")
 
 
-@query(f"{L.RAW} SELECT DISTINCT id FROM offers_raw WHERE date_scraping IS NOT NULL")
+@query(f"{L.RAW} SELECT DISTINCT id FROM offers_raw")
 def stream_unique(spark, sf_dir):
-    arriving = stream_bronze(spark, _bronze_files(spark, sf_dir)).filter(F.col("date_scraping").isNotNull())
+    arriving = stream_bronze(spark, _bronze_files(spark, sf_dir))
     return _drained(streaming.unique_by_id(arriving).select("id"), spark, "unique")
 
 
@@ -342,16 +348,57 @@ def stream_daily(spark, sf_dir):
 
 @query(f"{L.WITH_STAR} SELECT {W.FACT_OUT} FROM offres")
 def stream_upsert(spark, sf_dir):
-    """Gold files loaded batch by batch, in several micro-batches."""
+    """Gold files loaded batch by batch, in several micro-batches.
+
+    Keys depend on the batch a company came with; they are resolved to names, and numbered in name order for comparison.
+    """
     schema = W.gold(spark, sf_dir).schema
     source = stored(spark, sf_dir, "gold", lambda p: None)
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(source)
     path = _fresh(spark, "upsert")
     streaming.upsert(rows, path, f"{path}/state").start().awaitTermination()
-    fact = streaming.read_upserted(spark, path).offres
+    star = streaming.read_upserted(spark, path)
+    by_name = dense_keys(star.entreprises.select("nom"), "nom", "numero")
+    fact = star.offres.join(star.entreprises, "id_entreprise", "left").join(by_name, "nom", "left")
+    fact = fact.withColumn("id_entreprise", F.col("numero")).drop("nom", "numero")
     return fact.withColumn("score_qualite_pct", F.col("score_qualite_pct").cast("double"))
 
 
+@query(
+    f"{L.WITH_STAR}, early AS (SELECT DISTINCT entreprise AS nom FROM gold WHERE entreprise <> 'Non spécifié' AND source = 'adzuna'), "
+    "late AS (SELECT nom FROM entreprises WHERE nom NOT IN (SELECT nom FROM early)), first AS (SELECT count(*) AS n FROM early) "
+    "SELECT nom, row_number() OVER (ORDER BY nom) AS id_entreprise, true AS stable FROM early UNION ALL "
+    "SELECT nom, n + row_number() OVER (ORDER BY nom), true FROM late, first"
+)
+def stream_keys(spark, sf_dir):
+    """Companies of an incremental load: keys of the first delivery stay when the second comes, after a replay and in a compacted copy."""
+    rows, path = W.gold(spark, sf_dir), _fresh(spark, "keys")
+    for part, mine in (("a", F.col("source") == V.A), ("b", F.col("source") != V.A)):
+        rows.filter(mine).write.parquet(f"{path}/in/{part}")
+        arriving = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{path}/in")
+        streaming.upsert(arriving, f"{path}/out", f"{path}/state").start().awaitTermination()
+    streaming.compact(spark, f"{path}/out", f"{path}/compact")
+    kept, packed = (streaming.read_upserted(spark, f"{path}/{p}").entreprises for p in ("out", "compact"))
+    first = spark.read.parquet(f"{path}/out/entreprises").filter("batch = 0").select("nom", F.col("id_entreprise").alias("early"))
+    same = packed.select("nom", F.col("id_entreprise").alias("packed"))
+    stable = (F.col("id_entreprise") == F.col("packed")) & F.coalesce(F.col("early") == F.col("id_entreprise"), F.lit(True))
+    out = kept.join(same, "nom", "full").join(first, "nom", "left")
+    return out.select("nom", F.col("id_entreprise").cast("long").alias("id_entreprise"), stable.alias("stable"))
+
+
+@query(
+    f"{L.WITH_GOLD} SELECT id, source, titre_clean, nb_competences + 2 AS nb_competences FROM gold WHERE source = 'adzuna'"
+)
+def gold_of_day(spark, sf_dir):
+    """The newest of two runs of a day, below a root that is named like another day; a later day has runs of its own."""
+    rows, root = W.gold(spark, sf_dir).drop("ord"), _fresh(spark, "20240205")
+    more = F.col("nb_competences")
+    for added, run_at in enumerate((RUN_AT, RUN_AT + dt.timedelta(hours=1), RUN_AT + dt.timedelta(days=4)), start=1):
+        write_layer(rows.withColumn("nb_competences", (more + added).cast("int")), f"{root}/20240205/gold", run_at)
+    day = read_gold_for_day(spark, f"{root}/20240205/gold", V.A, RUN_AT.strftime("%Y%m%d"))
+    return day.select("id", "source", "titre_clean", "nb_competences")
+
+
 # Daily run ------------------------------------------------------------------------------------------------------
 
 

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sql_layers as L
-from checks.views import RUN_AT, offers_raw, query, table
+from checks.views import RUN_AT, offers_raw, query, spread, table
 from offermart import vocab as V
 from offermart.functions import labels, skills, text
 from offermart.operators import dedup
 from offermart.plans import layers
-from offermart.sources import spread
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:

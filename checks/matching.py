@@ -82,15 +82,6 @@ def match_final(spark, sf_dir):
     return match.match_top(users, cards, 3)
 
 
-@query(
-    f"{WITH_MATCH},\n{FINAL}, capped AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY id_utilisateur ORDER BY "
-    f"communs DESC, id_offre) <= 100) SELECT id_utilisateur, id_offre, communs, score_match FROM capped {BEST.format(k=3)}"
-)
-def match_capped(spark, sf_dir):
-    users, cards = _final(spark, sf_dir)
-    return match.match_top(users, cards, 3, cap=100)
-
-
 @query(
     f"{WITH_MATCH},\n{FINAL}, best AS (SELECT * FROM scored {BEST.format(k=10)}) SELECT id_utilisateur, id_offre, communs, score_match, "
     "titre_clean AS titre, coalesce(e.nom, 'Entreprise inconnue') AS entreprise, f.ville, CAST(salaire_mensuel AS INT) AS salaire, source, "

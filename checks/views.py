@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offermart.session import shared_dir
-from offermart.sources import spread
 
 RUN_AT = dt.datetime(2024, 2, 1, 6, 0, 0)
 
@@ -85,6 +84,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by the hash of ``key``: a given table may be one file, whose rows would all be worked on by one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _places(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
     """Customers with the names of nation (25 rows) and region (5 rows), whose sizes never grow."""
     nation = F.broadcast(table(spark, sf_dir, "nation"))

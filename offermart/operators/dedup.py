@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +9,6 @@ from offermart.functions.text import fingerprint
 from offermart.operators.ranking import top_per_group
 from offermart.session import cut_lineage
 
-# Undecided rows are finished in one ordered pass once there are at most this many (three narrow columns each).
-TAIL_ROWS = 200_000
-
 
 def first_by_id(df: DataFrame, key: str = "id", order: str = "ord") -> DataFrame:
     return top_per_group(df, [key], [F.col(order).asc()], 1)
@@ -24,29 +18,24 @@ def last_by_id(df: DataFrame, key: str = "id", order: str = "ord") -> DataFrame:
     return top_per_group(df, [key], [F.col(order).desc()], 1)
 
 
-def greedy_unique(df: DataFrame, key: str = "id", order: str = "ord", tail_rows: int = TAIL_ROWS) -> DataFrame:
+def greedy_unique(df: DataFrame, key: str = "id", order: str = "ord") -> DataFrame:
     """Rows kept by a pass in order that drops a row when its id or fingerprint belongs to a row kept before.
 
     The same set is found in rounds. A row that comes first among the undecided rows of its id and of its
     fingerprint is certain to be kept; every undecided row that shares a key with it is certain to go. Each round
-    decides at least the first undecided row, so the rounds end. Only ``(order, id, fingerprint)`` moves, and rows
-    equal in both keys are folded to the first one beforehand, so repeated offers do not travel at all. Once few rows are
-    left (long chains of alternating keys) they are decided by one ordered pass over that bounded rest.
+    decides at least the first undecided row, so the rounds end, whatever the size. Only ``(order, id, fingerprint)`` moves,
+    and rows equal in both keys are folded to the first one beforehand, so repeated offers do not travel at all.
     """
     fp = fingerprint(F.col("titre"), F.col("entreprise"), F.col("lieu"))
     narrow = df.select(F.col(order).alias("o"), F.col(key).alias("k"), fp.alias("f"))
-    kept = _greedy_orders(narrow, tail_rows)
+    kept = _greedy_orders(narrow)
     return df.join(kept, F.col(order) == kept["o"], "left_semi")
 
 
-def _greedy_orders(rows: DataFrame, tail_rows: int) -> DataFrame:
+def _greedy_orders(rows: DataFrame) -> DataFrame:
     undecided = cut_lineage(rows.groupBy("k", "f").agg(F.min("o").alias("o")))
-    kept_parts = []
-    while True:
-        left = undecided.count()
-        if left <= tail_rows:
-            kept_parts.append(_ordered_pass(undecided))
-            break
+    kept_parts = [undecided.select("o").limit(0)]
+    while not undecided.isEmpty():
         # One row per key on both sides: a hot key cannot skew this join.
         by_key = undecided.groupBy("k").agg(F.min("o").alias("o"))
         by_fp = undecided.groupBy("f").agg(F.min("o").alias("o"))
@@ -62,26 +51,6 @@ def _greedy_orders(rows: DataFrame, tail_rows: int) -> DataFrame:
     return out
 
 
-def _ordered_pass(rows: DataFrame) -> DataFrame:
-    """The plain pass over a rest whose size the caller has checked."""
-    schema = rows.select("o").schema
-
-    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen_keys: set = set()
-        seen_fps: set = set()
-        for batch in batches:
-            flags = []
-            for k, f in zip(batch["k"], batch["f"]):
-                fresh = k not in seen_keys and f not in seen_fps
-                if fresh:
-                    seen_keys.add(k)
-                    seen_fps.add(f)
-                flags.append(fresh)
-            yield batch.loc[flags, ["o"]]
-
-    return rows.coalesce(1).sortWithinPartitions("o").mapInPandas(decide, schema)
-
-
 def duplicate_stats(df: DataFrame, kept: DataFrame) -> DataFrame:
     """One row: rows read, rows kept, duplicates and their share."""
     tagged = df.select(F.lit(0).alias("kept")).unionByName(kept.select(F.lit(1).alias("kept")))

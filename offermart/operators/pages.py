@@ -22,13 +22,14 @@ PLACES = [rf"<(\w+)\b[^>]*data-testid=[\"'][^\"']*{p}[^\"']*[\"'][^>]*>(.*?)</\1
           ("location", "city", "place", "contract")]
 SPAN = r"<span\b[^>]*>(.*?)</span>"
 MAIN = r"<main\b[^>]*>(.*)</main>"
+# Start tags of the containers of a description, from the most to the least certain.
 DESCRIPTIONS = [
-    r"<(\w+)\b[^>]*data-testid=[\"']job-description[\"'][^>]*>(.*?)</\1>",
-    r"<(div)\b[^>]*class=[\"'](?:[^\"']*\s)?job-description(?:\s[^\"']*)?[\"'][^>]*>(.*?)</\1>",
-    r"<(section)\b[^>]*data-testid=[\"'][^\"']*description[^\"']*[\"'][^>]*>(.*?)</\1>",
-    r"<(div)\b[^>]*class=[\"'][^\"']*description[^\"']*[\"'][^>]*>(.*?)</\1>",
-    r"<(article)\b[^>]*>(.*?)</\1>",
+    r"<(\w+)\b[^>]*data-testid=[\"']job-description[\"'][^>]*>",
+    r"<(div)\b[^>]*class=[\"'](?:[^\"']*\s)?job-description(?:\s[^\"']*)?[\"'][^>]*>",
+    r"<(section)\b[^>]*data-testid=[\"'][^\"']*description[^\"']*[\"'][^>]*>",
+    r"<(div)\b[^>]*class=[\"'][^\"']*description[^\"']*[\"'][^>]*>",
 ]
+ARTICLE = r"<(article)\b[^>]*>"
 
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
@@ -108,18 +109,41 @@ def place(html: Column, titre: Column, entreprise: Column) -> Column:
     return F.coalesce(labelled, _head(spans), F.lit("France"))
 
 
-def description(html: Column) -> Column:
-    """Text of the first description container that holds any, else the start of the main text, else empty."""
-    main = F.substring(plain(F.regexp_extract(html, _TAG + MAIN, 1)), 1, 3000)
-    return F.coalesce(_head(_texts(html, *[(p, 2) for p in DESCRIPTIONS])), main)
+def _container(html: Column, start: str) -> Column:
+    """Inner html of the first element with this start tag, up to the end tag on its own level."""
+    tag = F.regexp_extract(html, _TAG + start, 1)
+    # One character in front keeps the first piece from being taken for a tag; every other piece begins with one.
+    rest = F.concat(F.lit("-"), F.regexp_extract(html, _TAG + start + "(.*)", 2))
+    pieces = F.split(rest, F.concat(F.lit("(?i)(?=</?"), tag, F.lit("\\b)")))
+
+    def step(state: Column, piece: Column) -> Column:
+        change = F.when(piece.startswith("</"), F.lit(-1)).when(piece.startswith("<"), F.lit(1)).otherwise(F.lit(0))
+        depth = F.when(state["depth"] > 0, state["depth"] + change).otherwise(F.lit(0))
+        return F.struct(depth.alias("depth"), (state["n"] + (depth > 0).cast("int")).alias("n"))
+
+    inside = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)["n"]
+    return F.when(tag != "", F.substring(F.array_join(F.slice(pieces, F.lit(1), inside), ""), 2, 2**31 - 1))
+
+
+def description(html: Column, any_article: bool = False) -> Column:
+    """Text of the first description container that holds any, else the start of the main text, else empty.
+
+    An article counts inside the main part; ``any_article`` takes one anywhere.
+    """
+    inner = F.regexp_extract(html, _TAG + MAIN, 1)
+    raw = F.array(*[_container(html, p) for p in DESCRIPTIONS], _container(html if any_article else inner, ARTICLE))
+    found = F.filter(F.transform(raw, plain), lambda t: t != "")
+    return F.coalesce(_head(found), F.substring(plain(inner), 1, 3000))
 
 
 def cards(pages: DataFrame, keyword: str | Column = "", page_heading: bool = False) -> DataFrame:
     """Card fields of every page that has a title."""
     word = F.lit(keyword) if isinstance(keyword, str) else keyword
     html = F.col("html")
-    named = pages.withColumns({"_titre": title(html, page_heading), "_url": offer_url(html), "_keyword": word})
-    named = named.filter(~blank(F.col("_titre"))).withColumn("_entreprise", company(html))
+    # Generated, not filtered: a filter on the title would be pushed down and the title be computed twice.
+    titled = F.filter(F.array(title(html, page_heading)), lambda t: ~blank(t))
+    named = pages.select("*", F.explode(titled).alias("_titre"))
+    named = named.withColumns({"_url": offer_url(html), "_keyword": word, "_entreprise": company(html)})
     return named.withColumns(
         {
             "_lieu": place(html, F.col("_titre"), F.col("_entreprise")),
@@ -129,10 +153,10 @@ def cards(pages: DataFrame, keyword: str | Column = "", page_heading: bool = Fal
     )
 
 
-def details(pages: DataFrame) -> DataFrame:
+def details(pages: DataFrame, any_article: bool = False) -> DataFrame:
     """Description and salary bounds of a detail page; bounds are read from its main part."""
     html = F.col("html")
     bounds = salary.bounds_from_page(plain(F.regexp_extract(html, _TAG + MAIN, 1)))
-    return pages.withColumn("description", description(html)).withColumns(
+    return pages.withColumn("description", description(html, any_article)).withColumns(
         {"salaire_min": bounds["salaire_min"], "salaire_max": bounds["salaire_max"]}
     )

@@ -58,20 +58,28 @@ def skill_dimension(gold: DataFrame, existing: DataFrame | None = None) -> DataF
     return extend_dimension(existing, skill_names(gold), "nom", "id_competence")
 
 
+def _ends(rows: DataFrame, first: str, last: str) -> DataFrame:
+    """``(id_offre, first, last)``: of every id the structs with the smallest and the greatest order ``o``.
+
+    Ids and orders are aggregated alone; the two rows of an id are then picked by a join. Orders are unique per row.
+    """
+    ends = rows.groupBy("id_offre").agg(F.min(f"{first}.o").alias("_low"), F.max(f"{last}.o").alias("_high"))
+    both = rows.join(ends, "id_offre")
+    lows = both.filter(F.col(f"{first}.o") == F.col("_low")).select("id_offre", F.col(first).alias("first"))
+    highs = both.filter(F.col(f"{last}.o") == F.col("_high")).select("id_offre", F.col(last).alias("last"))
+    return lows.join(highs, "id_offre")
+
+
 def upsert_states(gold: DataFrame, order: str = "ord") -> DataFrame:
     """Per id the first and the last row, as structs. States of several batches merge by ``merge_states``."""
     first = F.struct(F.col(order).alias("o"), "entreprise", *[c for c in FROM_GOLD if c not in UPDATED])
     last = F.struct(F.col(order).alias("o"), *UPDATED)
-    rows = gold.filter(F.col("id").isNotNull())
-    return rows.groupBy(F.col("id").alias("id_offre")).agg(
-        F.min_by(first, F.col(order)).alias("first"), F.max_by(last, F.col(order)).alias("last")
-    )
+    rows = gold.filter(F.col("id").isNotNull()).select(F.col("id").alias("id_offre"), first.alias("f"), last.alias("l"))
+    return _ends(rows, "f", "l")
 
 
 def merge_states(states: DataFrame) -> DataFrame:
-    return states.groupBy("id_offre").agg(
-        F.min_by("first", F.col("first.o")).alias("first"), F.max_by("last", F.col("last.o")).alias("last")
-    )
+    return _ends(states.select("id_offre", "first", "last"), "first", "last")
 
 
 def fact_rows(states: DataFrame) -> DataFrame:

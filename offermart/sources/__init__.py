@@ -29,15 +29,6 @@ def _coerce(df: DataFrame, field: T.StructField) -> Column:
     return F.col(field.name).try_cast(field.dataType)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than that; large inputs are left as they are.
-
-    For small files whose rows cost much work. The rows go by the hash of ``key``, so a retried task gets the same ones.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_bronze_with_rejects(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """Offers below ``path`` and the unreadable records, told apart instead of failing the run.
 
@@ -77,27 +68,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_gold_for_day(spark: SparkSession, path: str, source: str, day: str) -> DataFrame:
-    """Newest Gold write of one source for a day ``YYYYMMDD``, with its row order ``ord``; empty when there is none.
+    """Newest Gold run of one source for a day ``YYYYMMDD``, with its row order ``ord``; empty when there is none.
 
-    The newest modification time is found from file metadata alone; the data are scanned once, for that write only.
+    Source and run are partition columns of the layout that ``write_layer`` leaves, so only folders of that source and day are
+    listed as data; the newest of their runs is found first and prunes the scan to its own files.
     """
     if not path_exists(spark, path):
         order = T.StructType([T.StructField("file", T.StringType()), T.StructField("row", T.LongType())])
         return spark.createDataFrame([], T.StructType(S.GOLD.fields + [T.StructField("ord", order)]))
-    files = spark.read.schema(S.GOLD).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    file = F.col("_metadata.file_path")
-    order = F.struct(file.alias("file"), F.col("_metadata.row_index").alias("row"))
-    rows = (
-        files.parquet(path)
-        .select("*", order.alias("ord"), F.col("_metadata.file_modification_time").alias("_at"))
-        .filter(F.col("ord.file").contains(f"/{source}") | F.col("ord.file").contains(f"={source}/"))
-        .filter(F.col("ord.file").contains(day))
-        # A Spark write is a folder of files, so the unit that competes is the folder.
-        .withColumn("_folder", F.regexp_replace("ord.file", "/[^/]*$", ""))
-    )
-    writes = rows.groupBy("_folder").agg(F.max("_at").alias("_at"))
-    newest = writes.agg(F.max_by("_folder", F.struct("_at", "_folder")).alias("_folder"))
-    return rows.join(F.broadcast(newest), "_folder").drop("_folder", "_at")
+    parts = [T.StructField("_source", T.StringType()), T.StructField("run", T.StringType())]
+    files = spark.read.schema(T.StructType(S.GOLD.fields + parts)).parquet(path)
+    of_day = (F.col("_source") == source) & (F.substring("run", 1, 8) == day)
+    newest = files.filter(of_day).agg(F.max("run").alias("run"))
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    rows = files.select("*", order.alias("ord")).filter(of_day).join(F.broadcast(newest), "run")
+    return rows.select(*S.GOLD.fieldNames(), "ord")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from offermart.functions.values import to_timestamp
 from offermart.operators import star as S
+from offermart.operators.keys import dense_keys
 from offermart.plans import layers
+from offermart.sources import path_exists
 
 
 def event_time(col: str = "date_scraping") -> Column:
@@ -41,30 +43,62 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
+# Key of each dimension.
+DIMENSIONS = {"entreprises": "id_entreprise", "competences": "id_competence"}
+
+
+def _stored(spark: SparkSession, path: str, name: str, before: int | None = None) -> DataFrame | None:
+    """Everything stored under ``name``, or what batches before a number have stored; None if there is nothing."""
+    if not path_exists(spark, f"{path}/{name}"):
+        return None
+    rows = spark.read.parquet(f"{path}/{name}")
+    return rows if before is None else rows.filter(F.col("batch") < before)
+
+
 def upsert(stream: DataFrame, path: str, checkpoint: str, order: str = "ord") -> DataStreamWriter:
     """Incremental warehouse load of a stream of Gold offers with their order.
 
-    Each batch stores its own first and last row per id, its offer-skill pairs and its company names below
-    ``batch=<id>``. A replayed batch replaces its folder, so it changes nothing, and no batch rewrites what earlier ones
-    stored.
+    Each batch stores its own first and last row per id, its offer-skill pairs, and the companies and skills that no batch
+    before it knew, below ``batch=<id>``. Their keys go on after the greatest one, so a key once given stays. A replayed
+    batch sees the same earlier batches and replaces its folder, so it gives the same keys and changes nothing.
     """
 
     def store(rows: DataFrame, batch: int) -> None:
-        parts = {
-            "states": S.upsert_states(rows, order), "pairs": S.offer_skills(rows), "companies": S.company_names(rows)
-        }
+        spark, rows = rows.sparkSession, rows.persist()
+        parts = {"states": S.upsert_states(rows, order), "pairs": S.offer_skills(rows)}
+        names = {"entreprises": S.company_names(rows), "competences": S.skill_names(rows)}
+        for name, key in DIMENSIONS.items():
+            known = _stored(spark, path, name, batch)
+            if known is None:
+                parts[name] = S.extend_dimension(None, names[name], "nom", key)
+            else:
+                fresh = names[name].join(known.select("nom"), "nom", "left_anti")
+                greatest = known.agg(F.max(key)).first()[0] or 0
+                parts[name] = dense_keys(fresh, "nom", key, greatest)
         for name, table in parts.items():
-            table.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch}")
+            table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{name}/batch={batch}")
+        rows.unpersist()
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
 def read_upserted(spark: SparkSession, path: str) -> S.Star:
     """Star schema of everything stored so far: first and last rows merge over the batches as they do within one."""
-    states = S.merge_states(spark.read.parquet(f"{path}/states"))
+    rows = S.fact_rows(S.merge_states(spark.read.parquet(f"{path}/states")))
     pairs = spark.read.parquet(f"{path}/pairs").select("id_offre", "nom").dropDuplicates()
-    rows = S.fact_rows(states)
-    names = spark.read.parquet(f"{path}/companies").select("nom").distinct()
-    companies = S.extend_dimension(None, names, "nom", "id_entreprise")
-    skills = S.extend_dimension(None, pairs.select("nom").distinct(), "nom", "id_competence")
+    companies, skills = (
+        spark.read.parquet(f"{path}/{name}").select(key, "nom") for name, key in DIMENSIONS.items()
+    )
     return S.Star(companies, skills, S.with_company_key(rows, companies), S.key_skills(pairs, skills))
+
+
+def compact(spark: SparkSession, path: str, out: str) -> None:
+    """One batch in place of all: the same star schema with the same keys, in a new folder that later batches go on from."""
+    last = spark.read.parquet(f"{path}/states").agg(F.max("batch")).first()[0] or 0
+    parts = {
+        "states": S.merge_states(spark.read.parquet(f"{path}/states")),
+        "pairs": spark.read.parquet(f"{path}/pairs").select("id_offre", "nom").dropDuplicates(),
+        **{name: spark.read.parquet(f"{path}/{name}").select(key, "nom") for name, key in DIMENSIONS.items()},
+    }
+    for name, table in parts.items():
+        table.write.parquet(f"{out}/{name}/batch={last}")

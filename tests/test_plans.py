@@ -10,8 +10,10 @@ from checks.views import RUN_AT, offers_raw
 from offermart import schemas as S
 from offermart import streaming
 from offermart import vocab as V
-from offermart.operators import dedup, market
+from offermart.operators import dedup, market, pages
+from offermart.operators import star as S_
 from offermart.plans import daily, layers
+from offermart.sinks import write_layer
 from offermart.sources import conform, read_gold_for_day, stream_bronze
 
 SF = "/root/testdata/sf0.001"
@@ -31,6 +33,36 @@ def test_first_by_id_cuts_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
+def test_greedy_rounds_stay_in_the_engine(spark):
+    text = plan(dedup.greedy_unique(offers_raw(spark, SF)))
+    assert not any(node in text for node in ("InPandas", "InArrow", "EvalPython", "Coalesce 1"))
+
+
+def test_gold_of_a_day_prunes_partitions(spark, tmp_path):
+    root = str(tmp_path / "20240205" / "gold")
+    for hour in (0, 1):
+        write_layer(W.gold(spark, SF).drop("ord"), root, RUN_AT + dt.timedelta(hours=hour))
+    found = read_gold_for_day(spark, root, V.A, "20240201")
+    assert "_source" in plan(found) and "PartitionFilters: []" not in plan(found)
+    assert found.select("ord.file").distinct().where("file LIKE '%run=20240201_070000%'").count() == found.select("ord.file").distinct().count()
+    assert read_gold_for_day(spark, root, V.A, "20240205").count() == 0
+
+
+def test_upsert_sorts_no_texts(spark):
+    assert "SortAggregate" not in plan(S_.upsert_states(W.gold(spark, SF)))
+
+
+def test_description_ends_on_its_own_level(spark):
+    nested = "<div class='job-description'><div>Intro</div><p>Python <DIV>et</div> SQL</p></div><div>other</div>"
+    rows = [(nested,), ("<main><p>a</p><article>b<article>c</article>d</article>e</main>",), ("<article>out</article>",), (None,),
+            ("<section data-testid='job-description'>never closed",)]
+    df = spark.createDataFrame(rows, "html string")
+    got = [r[0] for r in df.select(pages.description(F.col("html"))).collect()]
+    assert got[0] == "Intro Python et SQL" and got[1] == "b c d" and got[4] == "never closed"
+    assert not got[2] and not got[3]
+    assert df.select(pages.description(F.col("html"), any_article=True)).collect()[2][0] == "out"
+
+
 def test_recent_limits_the_fact_before_joining(spark):
     star = W.warehouse(spark, SF)
     text = plan(market.recent(star))
