@@ -144,6 +144,6 @@ def pack(
     return rows.mapInArrow(run, schema)
 
 
-@query()
+@query(tested_by="tests/llm/test_text_operators.py")
 def op5_sum_of_squares(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

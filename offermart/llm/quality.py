@@ -170,7 +170,7 @@ def quality(
     return rows.mapInArrow(score, schema)
 
 
-@query()
+@query(tested_by="tests/llm/test_learned_operators.py")
 def op9_random_indexing(spark, sf_dir):
     found = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumnRenamed("id", "doc_id")

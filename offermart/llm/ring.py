@@ -141,7 +141,7 @@ def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "d
     out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
-@query()
+@query(tested_by="tests/llm/test_text_operators.py")
 def op4_ring(spark, sf_dir):
     placed = place(table(spark, sf_dir, "documents"), shards=40)
     return placed.select(

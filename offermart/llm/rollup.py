@@ -115,7 +115,7 @@ def changes(op: str, counted: DataFrame) -> DataFrame:
     return counted.select(F.lit(op).alias("op"), "id", *KEY, "tokens")
 
 
-@query()
+@query(tested_by="tests/llm/test_text_operators.py")
 def op3_token_rollup(spark, sf_dir):
     """All documents come in under two tokenizers, exact copies go, and texts with addresses are revised; two batches are sent twice."""
     import public_tokenizers

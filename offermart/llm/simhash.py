@@ -258,7 +258,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: st
     return named.dropDuplicates(["_r1", "_r2"]).select(*docs.columns)
 
 
-@query()
+@query(tested_by="tests/llm/test_text_operators.py")
 def op2_simhash(spark, sf_dir):
     found = near_copies(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")

@@ -289,7 +289,7 @@ def toxicity(
     return rows.mapInArrow(score, schema)
 
 
-@query()
+@query(tested_by="tests/llm/test_learned_operators.py")
 def op7_lexicon_automata(spark, sf_dir):
     found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumnRenamed("id", "doc_id")

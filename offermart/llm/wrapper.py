@@ -358,7 +358,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     return joined.select("id", "url", "html", "reference", "template").mapInArrow(run, schema)
 
 
-@query()
+@query(tested_by="tests/llm/test_learned_operators.py")
 def op10_wrappers(spark, sf_dir):
     found = extract(table(spark, sf_dir, "pages"))
     return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
