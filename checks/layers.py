@@ -9,6 +9,7 @@ from checks import sql_layers as L
 from checks.views import RUN_AT, offers_raw, query, spread, table
 from offermart import vocab as V
 from offermart.functions import labels, skills, text
+from offermart.functions.values import finite, to_number
 from offermart.operators import dedup
 from offermart.plans import layers
 
@@ -139,3 +140,28 @@ def doc_terms(spark, sf_dir):
         F.array_join(skills.extract_skills(F.col("text"), DOC_TERMS), "|").alias("mots"),
         F.array_join(skills.extract_skills(F.col("text"), list(DOC_TERMS)), "|").alias("fragments"),
     )
+
+
+NESTED_TERMS = {"License": "license", "MIT License": "mit license", "Apache License": "apache license", "Public License": "public license",
+                "General Public License": "general public license", "Rights": "rights", "All rights": "all rights", "cc": "cc"}
+
+
+@query(f"SELECT doc_id, array_to_string({L.skill_list('text', NESTED_TERMS)}, '|') AS mots FROM documents")
+def doc_nested_terms(spark, sf_dir):
+    """Terms that lie inside others."""
+    found = skills.extract_skills(F.col("text"), NESTED_TERMS)
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.array_join(found, "|").alias("mots"))
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS valeur, CASE WHEN event_id % 3 = 0 THEN NULL ELSE "
+    "CAST(value AS DOUBLE) END AS nombre FROM events"
+)
+def numbers(spark, sf_dir):
+    """Numbers out of texts, and finite ones only: unreadable texts, NaN and infinities become null."""
+    broken = F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).when(F.col("event_id") % 5 == 0, F.lit(float("-inf")))
+    words = F.when(F.col("event_id") % 3 == 0, F.lit("à négocier")).otherwise(F.col("value").cast("string"))
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.coalesce(broken, F.col("value").cast("double")).alias("valeur"), to_number(words).alias("nombre")
+    )
+    return finite(rows)

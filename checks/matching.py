@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sql_layers as L
 from checks.views import CANDIDATES_CTE, RUN_AT, candidate_skills, candidates, query, table
 from checks.warehouse import warehouse
+from offermart import vocab as V
 from offermart.functions.values import cosine
 from offermart.operators import market, match
+from offermart.plans.upload import upload
+from offermart.session import shared_dir
 from offermart.sinks import recommendation_rows, replace_skills
 
 
@@ -160,3 +165,22 @@ def cosine_column(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     shifted = F.transform("embedding", lambda x, i: x.cast("double") + i + 1)
     return rows.select("vec_id", F.round(cosine(F.col("embedding"), shifted), 6).alias("cosinus"))
+
+
+CV = "'CV : ' || CASE id_utilisateur % 4 WHEN 0 THEN 'Python et SQL' WHEN 1 THEN 'Spark, Kafka; python' WHEN 2 THEN 'cuisine' ELSE 'Docker' END"
+
+
+@query(
+    f"WITH {CANDIDATES_CTE}, cvs AS (SELECT id_utilisateur, {CV} AS text FROM candidates WHERE id_utilisateur % 3 = 0), fresh AS "
+    f"(SELECT id_utilisateur, lower(unnest({L.substring_list('text', V.SKILLS_CV)})) AS nom_competence FROM cvs) "
+    "SELECT id_utilisateur, nom_competence FROM candidate_skills WHERE id_utilisateur NOT IN (SELECT id_utilisateur FROM fresh) "
+    "UNION ALL SELECT id_utilisateur, nom_competence FROM fresh"
+)
+def cv_upload(spark, sf_dir):
+    """Skills of all candidates after every third has uploaded a CV; the recommendations are appended beside."""
+    people = candidates(spark, sf_dir)
+    cvs = people.filter("id_utilisateur % 3 = 0").select(F.col("id_utilisateur").alias("cv_id"), F.expr(CV.replace("id_utilisateur", "cv_id")).alias("text"))
+    old = candidate_skills(spark, sf_dir).drop("annee_experience")
+    path = f"{shared_dir(spark)}/offermart-upload-{uuid.uuid4().hex[:12]}"
+    after, _ = upload(cvs, people, old, _cards(spark, sf_dir), path, RUN_AT, k=3)
+    return after.select("id_utilisateur", "nom_competence")

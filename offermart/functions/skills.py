@@ -1,14 +1,15 @@
 """Skill extraction.
 
 Whole-word vocabularies are found in one pass over the text: all patterns form one alternation, every hit is reduced
-to a key (separators removed) and the key is looked up. That is exact because the patterns match at word boundaries
-and none of them starts inside another, so the leftmost hits are all hits. ``find_words`` checks this property of a
-vocabulary when the expression is built.
+to a key (separators removed) and the key is looked up. That is exact where patterns match at word boundaries
+and none of them starts inside another, so the leftmost hits are all hits. Terms that share a word with another term
+(``SQL`` and ``SQL Server``) are tested one by one.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,17 +27,31 @@ def skill_key(name: str) -> str:
     return re.sub(SEPARATORS, "", name.lower())
 
 
+def _parts(name: str) -> list[str]:
+    return re.split(SEPARATORS, name.lower())
+
+
+def split_overlaps(vocabulary: dict[str, str]) -> tuple[dict[str, str], dict[str, str]]:
+    """Terms that one pass finds, and those that share a word or a key with another term."""
+    uses = Counter(w for name in vocabulary for w in {*_parts(name), skill_key(name)})
+    shared = {n for n in vocabulary if any(uses[w] > 1 for w in {*_parts(n), skill_key(n)}) or len(_parts(n)) != len(set(_parts(n)))}
+    return {n: p for n, p in vocabulary.items() if n not in shared}, {n: vocabulary[n] for n in vocabulary if n in shared}
+
+
 def find_words(text: Column, vocabulary: dict[str, str]) -> Column:
     """Sorted names of the vocabulary whose pattern occurs as a whole word, in any case."""
-    words = [w for name in vocabulary for w in re.split(SEPARATORS, name.lower())]
-    keys = {skill_key(name): name for name in vocabulary}
-    several = [name for name in vocabulary if len(re.split(SEPARATORS, name.lower())) > 1]
-    parts = {p for name in several for p in re.split(SEPARATORS, name.lower())}
-    if len(keys) != len(vocabulary) or len(words) != len(set(words)) or parts & keys.keys():
-        raise ValueError("vocabulary terms overlap; a single pass would miss some")
-    hits = F.regexp_extract_all(F.lower(text), F.lit(whole_words(*vocabulary.values())), F.lit(1))
-    found = F.transform(F.array_distinct(hits), lambda h: lookup(keys, F.regexp_replace(h, unicode(SEPARATORS), "")))
-    return F.array_sort(F.array_distinct(F.coalesce(found, F.array().cast("array<string>"))))
+    alone, shared = split_overlaps(vocabulary)
+    lower, none = F.lower(text), F.array().cast("array<string>")
+    parts = []
+    if alone:
+        keys = {skill_key(name): name for name in alone}
+        hits = F.regexp_extract_all(lower, F.lit(whole_words(*alone.values())), F.lit(1))
+        found = F.transform(F.array_distinct(hits), lambda h: lookup(keys, F.regexp_replace(h, unicode(SEPARATORS), "")))
+        parts.append(F.coalesce(found, none))
+    if shared:
+        tested = [F.when(lower.rlike(whole_words(pattern)), F.lit(name)) for name, pattern in shared.items()]
+        parts.append(F.array_compact(F.array(*tested)))
+    return F.array_sort(F.array_distinct(F.concat(*parts) if parts else none))
 
 
 def find_substrings(text: Column, terms: list[str]) -> Column:

@@ -116,6 +116,10 @@ def test_scores(spark):
     assert one.select(values.harmonic_score(F.lit(1), F.lit(2), F.lit(3))).first()[0] == 0.25
 
 
-def test_vocabulary_with_overlapping_terms_is_refused(spark):
-    with pytest.raises(ValueError):
-        skills.find_words(F.lit(""), {"Power": "power", "Power BI": r"power\s*bi"})
+def test_vocabulary_with_overlapping_terms(spark):
+    vocabulary = {"Power": "power", "Power BI": r"power\s*bi", "SQL": "sql", "SQL Server": r"sql\s+server", "R": "r"}
+    rows = [("power bi and SQL Server", "Power|Power BI|SQL|SQL Server"), ("Powerful r", "R"), ("sql", "SQL"), (None, "")]
+    df = spark.createDataFrame(rows, "text string, want string")
+    got = df.select(F.array_join(skills.find_words(F.col("text"), vocabulary), "|"), "want").collect()
+    assert all(a == b for a, b in got)
+    assert skills.split_overlaps(vocabulary)[0] == {"R": "r"}
