@@ -1,8 +1,7 @@
 """Dense surrogate keys without a single-partition sort.
 
-Names are cut into ranges by boundary names taken from a small sample. The range of a name depends on the name and
-the boundaries only, so a recomputed task gives the same key. A key is the number of names in the ranges before, plus
-the rank within the range.
+Names are dealt out by ranges and sorted within them, once; that narrow table is a checkpoint. A key is the number of names in
+the ranges before, plus the place within the range. The number of ranges follows the size of the table.
 """
 
 from __future__ import annotations
@@ -10,35 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Boundary names fetched to the driver: fixed, whatever the size of the dimension.
-MAX_RANGES = 256
+from offermart.session import cut_lineage
 
+# ``monotonically_increasing_id`` is the number of the partition, shifted by so many bits, plus the place of the row.
+PLACE_BITS = 33
 
-def _boundaries(names: DataFrame, name: str, ranges: int) -> list[str]:
-    """``ranges - 1`` names that split the table about evenly, from the names with the smallest hashes."""
-    sample = names.select(name).orderBy(F.xxhash64(name), name).limit(ranges * 8)
-    picked = sorted((r[0] for r in sample.collect()), key=lambda s: s.encode())
-    step = max(len(picked) // ranges, 1)
-    return picked[step::step][: ranges - 1]
 
-
-def _range_of(col: Column, bounds: list[str]) -> Column:
-    if not bounds:
-        return F.lit(0)
-    steps = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(steps, lambda b: b <= col))
-
-
-def dense_keys(names: DataFrame, name: str, key: str, start: Column | int = 0, ranges: int = MAX_RANGES) -> DataFrame:
+def dense_keys(names: DataFrame, name: str, key: str, start: Column | int = 0) -> DataFrame:
     """``names`` (distinct, no nulls) with ``key`` = ``start`` + 1, 2, … in name order."""
-    ranged = names.select(name, _range_of(F.col(name), _boundaries(names, name, ranges)).alias("_range"))
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    # At most MAX_RANGES rows, so an unpartitioned window is safe here.
+    ordered = names.select(name).repartitionByRange(name).sortWithinPartitions(name)
+    placed = cut_lineage(ordered.withColumn("_at", F.monotonically_increasing_id()))
+    placed = placed.select(
+        name, F.shiftright("_at", PLACE_BITS).alias("_range"), F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("_place")
+    )
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    # One row per range, so an unpartitioned window is safe here.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(name))
-    keyed = ranged.withColumn("_rank", rank).join(F.broadcast(offsets), "_range")
-    return keyed.select((F.col("_before") + F.col("_rank") + F.lit(start)).cast("int").alias(key), name)
+    keyed = placed.join(F.broadcast(offsets), "_range")
+    return keyed.select((F.col("_before") + F.col("_place") + 1 + F.lit(start)).cast("int").alias(key), name)
 
 
 def extend_dimension(existing: DataFrame | None, names: DataFrame, name: str, key: str) -> DataFrame:
