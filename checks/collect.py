@@ -329,6 +329,12 @@ def stream_silver(spark, sf_dir):
     return _drained(streaming.refined(arriving, V.F, RUN_AT).select(*names), spark, "silver")
 
 
+@query(f"{L.WITH_W} SELECT {L.SILVER_OUT} FROM silver_w")
+def stream_silver_w(spark, sf_dir):
+    arriving = stream_bronze(spark, _bronze_files(spark, sf_dir)).filter(F.col("source") == V.W)
+    return _drained(streaming.refined(arriving, V.W, RUN_AT).select(*layers.SILVER_COLUMNS), spark, "silver-w")
+
+
 @query(f"{L.RAW} SELECT DISTINCT id FROM offers_raw")
 def stream_unique(spark, sf_dir):
     arriving = stream_bronze(spark, _bronze_files(spark, sf_dir))

@@ -206,6 +206,11 @@ def total_offers(spark, sf_dir):
     return market.total_offers(warehouse(spark, sf_dir).offres)
 
 
+@query(f"{L.WITH_STAR} SELECT count(*) AS total FROM offres WHERE titre_clean IS NOT NULL")
+def titled_offers(spark, sf_dir):
+    return market.titled_total(warehouse(spark, sf_dir).offres)
+
+
 @query(f"{L.WITH_STAR} SELECT source, count(*) AS nb FROM offres GROUP BY source")
 def by_source(spark, sf_dir):
     return market.by_source(warehouse(spark, sf_dir).offres)

@@ -137,6 +137,11 @@ def common_skills(gold: DataFrame, n: int = 10) -> DataFrame:
 # Aggregates over offers -----------------------------------------------------------------------------------------
 
 
+def titled_total(offres: DataFrame) -> DataFrame:
+    """Offers that can be shown among the recent ones: those with a title."""
+    return offres.agg(F.count("titre_clean").alias("total"))
+
+
 def total_offers(offers: DataFrame) -> DataFrame:
     return offers.agg(F.count("*").alias("total"))
 
