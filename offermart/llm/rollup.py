@@ -1,8 +1,9 @@
 """Token counts as rollups that are kept up to date by signed changes.
 
 Every batch of changes turns into signed rows: a document that comes in adds its tokens, one that goes takes back what it
-had added, a revised one does both. The rows of a batch go into a ledger, their sums by source, language and tokenizer into
-the rollup. Totals are the sum of all committed batches. A batch is committed by a marker written last: one that failed half-way is
+had added, a revised one does both. Rows are named by id, text, source and language, with a count of the rows equal in all of
+them, so that rows without an id or with a repeated one all count. The rows of a batch go into a ledger, their sums by source,
+language and tokenizer into the rollup. Totals are the sum of all committed batches. A batch is committed by a marker written last: one that failed half-way is
 written over when it is sent again, and one that was committed before changes nothing.
 """
 
@@ -12,32 +13,52 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offermart.llm import tokens
-from offermart.llm.common import scratch, stored, table
+from offermart.llm.common import identity, scratch, stored, table
 from offermart.llm.registry import query
 
 KEY = ["source", "lang", "tokenizer"]
-LEDGER = "id {id}, source string, lang string, tokenizer string, tokens long, docs int"
+NAME = ["id", "r1", "r2"]
+LEDGER = "id {id}, r1 long, r2 long, source string, lang string, tokenizer string, tokens long, docs long"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, ranks: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, source, lang, tokenizer, tokens)`` per row: the length of its whole text in BPE ids; 0 for null or empty."""
-    rows = docs.select(F.col(id_col).alias("id"), "source", "lang", F.col(text_col).cast("string").alias("text"))
-    schema = rows.select("id", "source", "lang", F.lit(0).cast("long").alias("tokens")).schema
+def names(id_col: str, text_col: str) -> list[Column]:
+    """``r1, r2``: what tells rows apart beside their id, from text, source and language."""
+    group = [c for k in KEY[:2] for c in (F.col(k).isNull(), F.coalesce(F.col(k).cast("string"), F.lit("")))]
+    return [F.xxhash64(r, *group).alias(f"r{i}") for i, r in enumerate(identity(id_col, text_col), 1)]
+
+
+def count_tokens(
+    docs: DataFrame, tokenizer: str, ranks: str, id_col: str = "doc_id", text_col: str = "text", named_by: str | None = None
+) -> DataFrame:
+    """``(id, r1, r2, source, lang, tokenizer, tokens)`` per row: the length of its whole text in BPE ids; 0 for null or empty.
+
+    ``named_by`` is the column with the text the row came in with, if ``text_col`` holds a revised one.
+    """
+    rows = docs.select(
+        F.col(id_col).alias("id"), *names(id_col, named_by or text_col), "source", "lang", F.col(text_col).cast("string").alias("text")
+    )
+    schema = rows.select(*NAME, "source", "lang", F.lit(0).cast("long").alias("tokens")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokens.words_of(ranks)
         for batch in batches:
-            counts = [len(tokens.encode(t.as_py(), words)) // 4 for t in batch.column(3)]
-            columns = [batch.column(0), batch.column(1), batch.column(2), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "source", "lang", "tokens"])
+            counts = [len(tokens.encode(t.as_py(), words)) // 4 for t in batch.column(5)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(counts, pa.int64())], names=[*NAME, "source", "lang", "tokens"])
 
     counted = rows.mapInArrow(run, schema)
-    return counted.select("id", "source", "lang", F.lit(tokenizer).alias("tokenizer"), "tokens")
+    return counted.select(*NAME, "source", "lang", F.lit(tokenizer).alias("tokenizer"), "tokens")
+
+
+def _same_name(left: str, right: str, *more: str) -> Column:
+    out = F.lit(True)
+    for c in (*NAME, *more):
+        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
 
 
 class Rollup:
@@ -67,35 +88,48 @@ class Rollup:
         return self.spark.read.schema(schema).parquet(*paths)
 
     def live(self) -> DataFrame:
-        """``(id, source, lang, tokenizer, tokens)`` of every document that counts now."""
+        """``(id, r1, r2, source, lang, tokenizer, tokens, docs)`` of every document that counts now; ``docs`` rows are equal."""
         rows = self._read("ledger", self.schema)
-        return rows.groupBy("id", *KEY, "tokens").agg(F.sum("docs").alias("docs")).where("docs > 0").drop("docs")
+        return rows.groupBy(*NAME, *KEY, "tokens").agg(F.sum("docs").alias("docs")).where("docs > 0")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Applies ``changes`` ``(op, id, source, lang, tokenizer, tokens)`` once; False if the batch was committed before.
-
-        ``insert`` adds a document or takes the place of the one with its id and tokenizer; ``revise`` does so only if there
-        is one; ``delete`` takes it out, under all tokenizers if ``tokenizer`` is null. Of several changes to one document
-        the largest ``(op, tokens, source, lang)`` holds, so repeated rows count once. Null ids are one document. Null
-        sources and languages are groups of their own; null tokens count as 0.
+        """Applies ``changes`` ``(op, id, r1, r2, source, lang, tokenizer, tokens, docs)`` once; False if the batch was committed before.
+
+        ``id, r1, r2`` name a document, null being a value like any other, and ``docs`` (1 if there is no such column) says for
+        how many equal rows the change stands. ``insert`` adds as many documents as it has equal rows, in place of those that
+        earlier batches had under the name and tokenizer; ``revise`` changes all of those, if there are any; ``delete`` takes out
+        as many as it has equal rows, under all tokenizers if ``tokenizer`` is null. Of several different changes to one name the
+        largest ``(op, tokens, source, lang)`` holds. Changes without ``r1, r2`` name documents by their id alone: then all rows
+        of an id are one document, and repeated rows count once. Null sources and languages are groups of their own; null tokens
+        count as 0.
         """
         if not re.fullmatch(r"[\w.-]+", batch):
             raise ValueError(f"not a batch name: {batch!r}")
         if self._committed(batch):
             return False
-        last = F.max(F.struct("op", F.coalesce("tokens", F.lit(0)).alias("tokens"), "source", "lang")).alias("c")
-        changes = stored(changes.groupBy("id", "tokenizer").agg(last).select("id", "tokenizer", "c.*"), "token-changes")
-        live = self.live()
-        named = changes.select(F.col("id").alias("cid"), F.col("tokenizer").alias("ct"))
-        hit = F.col("id").eqNullSafe(F.col("cid")) & (F.col("ct").isNull() | (F.col("ct") == F.col("tokenizer")))
-        old = live.join(named, hit, "left_semi")
-        fresh = changes.where("op = 'insert'")
-        again = changes.where("op = 'revise'")
-        there = live.select(F.col("id").alias("cid"), F.col("tokenizer").alias("ct"))
-        again = again.join(there, F.col("id").eqNullSafe(F.col("cid")) & (F.col("ct") == F.col("tokenizer")), "left_semi")
-        columns = ["id", *KEY, "tokens"]
-        signed = old.select(*columns, F.lit(-1).alias("docs"))
-        signed = signed.unionByName(fresh.unionByName(again).select(*columns, F.lit(1).alias("docs")))
+        if "r1" in changes.columns:
+            changes = changes if "docs" in changes.columns else changes.withColumn("docs", F.lit(1))
+            count = F.sum("docs")
+        else:
+            changes = changes.withColumns({r: F.lit(None).cast("long") for r in NAME[1:]})
+            count = F.lit(1)
+        changes = changes.withColumn("tokens", F.coalesce("tokens", F.lit(0)))
+        equal = changes.groupBy("op", *NAME, *KEY, "tokens").agg(count.cast("long").alias("docs"))
+        last = F.max(F.struct("op", "tokens", "source", "lang", "docs")).alias("c")
+        changes = stored(equal.groupBy(*NAME, "tokenizer").agg(last).select(*NAME, "tokenizer", "c.*"), "token-changes")
+        live = self.live().alias("l")
+        columns = [*NAME, *KEY, "tokens", "docs"]
+        of_live = [F.col(f"l.{c}") for c in columns]
+        told = changes.alias("c")
+        meant = F.col("c.tokenizer").isNull() | (F.col("c.tokenizer") == F.col("l.tokenizer"))
+        # A deletion takes out as many as it has rows; what comes in takes the place of all.
+        taken = F.when(F.col("c.op") == "delete", F.least("c.docs", "l.docs")).otherwise(F.col("l.docs"))
+        old = live.join(told, _same_name("l", "c") & meant).select(*of_live, taken.alias("taken"))
+        old = old.groupBy(*columns).agg(F.max("taken").alias("taken"))
+        fresh = changes.where("op = 'insert'").select(columns)
+        again = changes.where("op = 'revise'").alias("c").join(live, _same_name("c", "l") & (F.col("c.tokenizer") == F.col("l.tokenizer")))
+        again = again.select(*[F.col(f"c.{c}") for c in columns[:-1]], F.col("l.docs"))
+        signed = old.select(*columns[:-1], (-F.col("taken")).alias("docs")).unionByName(fresh).unionByName(again)
         ledger = f"{self.path}/ledger/batch={batch}"
         signed.write.mode("overwrite").parquet(ledger)
         rows = self.spark.read.schema(self.schema).parquet(ledger)
@@ -112,7 +146,21 @@ class Rollup:
 
 
 def changes(op: str, counted: DataFrame) -> DataFrame:
-    return counted.select(F.lit(op).alias("op"), "id", *KEY, "tokens")
+    return counted.select(F.lit(op).alias("op"), *NAME, *KEY, "tokens")
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Deletions of all rows but one of every text; the one with the smallest id stays, one without id only if none has any."""
+    text = F.col(text_col).cast("string")
+    content = [F.xxhash64(text).alias("h"), F.crc32(text.cast("binary")).alias("c"), F.length(text).alias("n")]
+    same = docs.select(F.col(id_col).alias("id"), *names(id_col, text_col), *content)
+    same = same.groupBy(*NAME, "h", "c", "n").agg(F.count("*").alias("docs"))
+    order = F.struct(F.col("id").isNull().alias("last"), *NAME)
+    first = same.groupBy("h", "c", "n").agg(F.min(order).alias("first"), F.sum("docs").alias("copies")).where("copies > 1")
+    stays = F.struct(F.col("id").isNull().alias("last"), *NAME).eqNullSafe(F.col("first")).cast("int")
+    gone = same.join(first, ["h", "c", "n"]).withColumn("docs", F.col("docs") - stays).where("docs > 0")
+    unknown = [F.lit(None).cast("string").alias(c) for c in KEY]
+    return gone.select(F.lit("delete").alias("op"), *NAME, *unknown, F.lit(None).cast("long").alias("tokens"), "docs")
 
 
 @query(tested_by="tests/llm/test_text_operators.py")
@@ -126,16 +174,14 @@ def op3_token_rollup(spark, sf_dir):
     rollup = Rollup(spark, scratch(spark, "token-rollup"), docs.schema["doc_id"].dataType.simpleString())
     for version, path in ranks.items():
         rollup.commit(f"insert-{version}", changes("insert", count_tokens(docs, version, path)))
-    same = docs.select("doc_id", F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"), F.length("text").alias("n"))
-    first = same.groupBy("h", "c", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    copies = same.join(first.where("copies > 1"), ["h", "c", "n"]).where("doc_id <> first")
-    gone = copies.select(
-        F.lit("delete").alias("op"), F.col("doc_id").alias("id"), *[F.lit(None).cast("string").alias(c) for c in KEY],
-        F.lit(None).cast("long").alias("tokens"),
-    )
+    gone = copies(docs)
     rollup.commit("delete-copies", gone)
-    masked = docs.where(F.col("text").rlike(EMAIL)).withColumn("text", F.regexp_replace("text", EMAIL, "<EMAIL>"))
-    revised = [changes("revise", count_tokens(masked, version, path)) for version, path in ranks.items()]
+    masked = docs.where(F.col("text").rlike(EMAIL)).select(
+        "doc_id", "source", "lang", "text", F.regexp_replace("text", EMAIL, "<EMAIL>").alias("masked")
+    )
+    revised = [
+        changes("revise", count_tokens(masked, version, path, text_col="masked", named_by="text")) for version, path in ranks.items()
+    ]
     rollup.commit("mask-addresses", revised[0].unionByName(revised[1]))
     rollup.commit("delete-copies", gone)
     rollup.commit("insert-byte_bpe_50k", changes("insert", count_tokens(docs, "byte_bpe_50k", ranks["byte_bpe_50k"])))
