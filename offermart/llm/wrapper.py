@@ -42,17 +42,21 @@ REPEATED = HEADINGS | set("blockquote dd dt figure li p pre td th tr".split())
 # Start tags that end an open element of the same group within the nearest container.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
-# Words of class, id and role that name parts beside the article.
+# Whole class names, ids and roles of parts that are never the article. Words that articles use as well
+# (notice, widget, header and the like) are left to the template.
 BESIDE = set(
-    "ad ads advert adverts advertisement sponsor sponsored promo banner cookie cookies consent notice notices popup modal"
-    " nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside related share sharing social newsletter"
-    " subscribe footer header masthead comment comments discussion replies respond disqus widget pagination toolbar search login"
-    " contentinfo complementary".split()
+    "ad ads advert adverts advertisement sponsor sponsored cookie cookies consent nav navbar navigation menu breadcrumb breadcrumbs"
+    " sidebar aside newsletter subscribe footer masthead comment comments disqus pagination toolbar login contentinfo complementary".split()
 )
 
+_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+_CODE, _OBJECTS = "script|style", "noscript|template|textarea|svg|iframe|select|button|object"
+# Code runs to its end tag or, as in HTML, to the end of the page. Another element that is not closed before the next
+# of its kind is an ordinary tag, and one that closes itself ends there.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|select|button|object|math)\b.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>?|([^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|<(?:{_CODE}|{_OBJECTS})(?=[\s/>]){_ATTRIBUTES}/>|<({_CODE})(?=[\s/>]).*?(?:</\1\s*>|\Z)"
+    rf"|<({_OBJECTS})(?=[\s/>])[^<]*+(?:<(?!/?\2[\s/>])[^<]*+)*+</\2\s*>"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES})>|<[!?][^>]*>?|([^<]+|<)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -63,10 +67,10 @@ _HOST = re.compile(r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 class Node:
     label: str
     tag: str
-    beside: bool
+    beside: bool  # by its tag or that of a node above it
     slot: bool
     parent: int
-    named: bool
+    hinted: bool  # by a class, id or role of its own
     children: list[int] = field(default_factory=list)
     blocks: list[int] = field(default_factory=list)
 
@@ -93,13 +97,13 @@ def parse(source: str | None) -> Page:
             text.clear()
         linked = 0
 
-    for raw, close, tag, attributes, words in _TOKEN.findall(source or ""):
+    for code, raw, close, tag, attributes, words in _TOKEN.findall(source or ""):
         if words:
             decoded = entities.unescape(words) if "&" in words else words
             text.append(decoded)
             linked += len(decoded) if links else 0
             continue
-        if raw or not tag:
+        if code or raw or not tag:
             continue
         tag = tag.lower()
         if tag == "br":
@@ -127,19 +131,46 @@ def parse(source: str | None) -> Page:
             if tag == "hr":
                 continue
             links = 0
-            names = sorted({n for found in _NAMES.findall(attributes) for n in re.split(r"[^a-z]+", "".join(found).lower()) if n})
+            given = {n for found in _NAMES.findall(attributes) for n in "".join(found).lower().split()}
+            names = sorted({n for g in given for n in re.split(r"[^a-z]+", g) if n})
             above = page.nodes[stack[-1]]
-            beside = above.beside or tag in NEVER or not BESIDE.isdisjoint(names) or (tag == "header" and not above.slot)
+            beside = above.beside or tag in NEVER or (tag == "header" and not above.slot)
             if tag in ("html", "body"):
                 beside = False
-            node = Node(".".join([tag, *names]), tag, beside, above.slot or tag in SLOTS or "main" in names, stack[-1], bool(names))
+            hinted = tag not in ("html", "body") and not BESIDE.isdisjoint(given)
+            node = Node(".".join([tag, *names]), tag, beside, above.slot or tag in SLOTS or "main" in names, stack[-1], hinted)
             above.children.append(len(page.nodes))
             stack.append(len(page.nodes))
             page.nodes.append(node)
     flush()
+    _heed_hints(page)
     return page
 
 
+def _heed_hints(page: Page) -> None:
+    """Names put a node and all below it beside the article, unless that would hide every article or all text of the page."""
+    nodes = page.nodes
+    if not any(n.hinted for n in nodes):
+        return
+    hidden = [False] * len(nodes)
+
+    def spread() -> None:
+        for at, n in enumerate(nodes):  # a node comes after the one above it
+            hidden[at] = n.beside or n.hinted or (at > 0 and hidden[n.parent] and n.tag != "body")
+
+    spread()
+    articles = [at for at, n in enumerate(nodes) if n.tag in SLOTS and not n.beside]
+    if articles and all(hidden[at] for at in articles):
+        for at in articles:
+            while at >= 0 and nodes[at].tag != "#":
+                nodes[at].hinted, at = False, nodes[at].parent
+        spread()
+    if all(hidden[at] for at, _, _ in page.blocks):
+        return
+    for n, beside in zip(nodes, hidden):
+        n.beside = beside
+
+
 def outline(page: Page) -> tuple[str, list[int], list[str]]:
     """The page's shape, for each of its nodes the position in the shape, and the text at each position.
 
@@ -258,11 +289,11 @@ def main_text(page: Page, template: set[int], where: list[int], aligned: tuple[i
             continue
         if node.slot and _in_header(page, at) and node.tag not in HEADINGS:
             continue
-        constant = aligned is not None and aligned[where[at]] in template
+        position = -1 if aligned is None else aligned[where[at]]
         # Inside a marked article plain headings and paragraphs are its text, though copies may share them.
-        if constant and not (node.slot and not node.named):
+        if position in template and not (node.slot and node.label == node.tag):
             continue
-        if not marked and linked > len(text) / 2:
+        if not marked and position < 0 and linked > len(text) / 2:
             continue
         out.append(text)
     return "\n".join(out)

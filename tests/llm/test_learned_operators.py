@@ -152,6 +152,23 @@ def test_template_is_learned_by_host(spark):
     assert all(got[100 + i] == "Same\ncopy" for i in range(8))
 
 
+def test_names_and_raw_elements_keep_article_text():
+    """Parts of class names, hints around the article, and elements without an end tag of their own hide no text."""
+    text = lambda html: wrapper.main_text(wrapper.parse(html), set(), [], None)
+    assert text("<div class='content with-sidebar'><p>a</p></div>") == "a"
+    assert text("<main class='no-sidebar'><p>a</p></main>") == text("<div id='page' class='has-ads'><p>a</p></div>") == "a"
+    assert text("<article><header class='entry-header'><h1>T</h1></header><div class='article-header'><h2>S</h2></div><p>a</p></article>") == "T\nS\na"
+    assert text("<div class='sidebar'><article><p>a</p><div class='ad'>Buy</div></article></div>") == "a"
+    assert text("<article><p>a</p></article><div id='comments'><article><p>reader</p></article></div>") == "a"
+    assert text("<article><p>one <svg class=\"i\"/> two</p><p>three</p></article>") == "one two\nthree"
+    assert text("<p>a</p><button-group>b</button-group><p>c</p>") == "a\nb\nc"
+    assert text("<p>a <svg> b</p><p>c <svg><path></svg> d</p><button>e") == "a b\nc d\ne"
+    assert text("<article><p>let <math><mi>x</mi></math> be</p><script>var a = '<p>no</p>'</script></article>") == "let x be"
+    page = wrapper.parse("<div><p><a href='/'>all of it linked</a></p></div>")
+    shape, where, _ = wrapper.outline(page)
+    assert wrapper.main_text(page, set(), where, wrapper.align(shape, shape)) == "all of it linked"
+
+
 def test_alignment_maximises_matches():
     """Simple tree matching against trying everything, on small random trees."""
     rng = random.Random(5)
