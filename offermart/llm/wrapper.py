@@ -3,7 +3,8 @@
 Pages of a host are built from the same template. Each page becomes a tree of block elements in which equal neighbours (the
 paragraphs of a text, the entries of a list) are one repeated node. The commonest tree of a host is its reference; every page is
 aligned with it by simple tree matching. A node that shows the same text on most of the different pages is template,
-a node whose text varies is a slot for content. What stands in elements that are never content (menus, footers, adverts, comments and
+a node whose text varies is a slot for content; inside a marked article this holds for each line of a repeated node as well. Pages
+with near copies of one article are one family and count as one page. What stands in elements that are never content (menus, footers, adverts, comments and
 the like) is left out in any case, and where a page marks its article only that part is read.
 """
 
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +28,8 @@ from offermart.llm.registry import query
 
 MIN_PAGES, MIN_SHARE = 3, 0.6  # different pages that show a template node's text, and their share of all that have the node
 DEPTH = 60  # levels of the tree that are aligned; deeper blocks belong to the node above them
+SHINGLE, BANDS, BAND = 5, 10, 4  # words of a shingle; smallest hashes that name a family, and how many of them a name has
+UNIT = 1 << 30  # weight of a family; its pages share it
 SMALL_HOSTS = 100_000  # a table of at most so many hosts is broadcast
 
 # Elements of HTML by their role.
@@ -279,9 +283,18 @@ def align(shape: str, reference: str) -> tuple[int, ...]:
     return tuple(out)
 
 
-def main_text(page: Page, template: set[int], where: list[int], aligned: tuple[int, ...] | None) -> str:
-    """The blocks of the article, or of all content slots if the page marks no article, one per line."""
-    marked = any(n.slot and not n.beside and n.tag in SLOTS for n in page.nodes)
+def is_marked(page: Page) -> bool:
+    return any(n.slot and not n.beside and n.tag in SLOTS for n in page.nodes)
+
+
+def main_text(
+    page: Page, template: set[int], where: list[int], aligned: tuple[int, ...] | None, lines: set[tuple[int, int]] = frozenset()
+) -> str:
+    """The blocks of the article, or of all content slots if the page marks no article, one per line.
+
+    ``template`` are positions of the reference, ``lines`` are positions with the hash of a block that is template there.
+    """
+    marked = is_marked(page)
     out = []
     for at, text, linked in page.blocks:
         node = page.nodes[at]
@@ -290,8 +303,8 @@ def main_text(page: Page, template: set[int], where: list[int], aligned: tuple[i
         if node.slot and _in_header(page, at) and node.tag not in HEADINGS:
             continue
         position = -1 if aligned is None else aligned[where[at]]
-        # Inside a marked article plain headings and paragraphs are its text, though copies may share them.
-        if position in template and not (node.slot and node.label == node.tag):
+        # In a marked article only the repeated text itself goes, not what other pages have at its place.
+        if ((position, _hash(text)) in lines) if marked else (position in template):
             continue
         if not marked and position < 0 and linked > len(text) / 2:
             continue
@@ -317,46 +330,103 @@ def _hash(text: str) -> int:
     return zlib.crc32(data) << 31 ^ zlib.adler32(data)
 
 
+_rng = np.random.default_rng(23)
+_TIMES = _rng.integers(0, 1 << 63, (BANDS * BAND, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACES = np.uint64(0x9E3779B97F4A7C15) ** np.arange(SHINGLE, dtype=np.uint64)
+
+
+def families(text: str) -> list[int]:
+    """Names of a text, each from several smallest hashes of its shingles: near copies share at least one, other texts hardly any."""
+    words = text.lower().split()
+    hashes = np.array([_hash(w) for w in words] + [0] * max(1, SHINGLE - len(words)), np.int64).astype(np.uint64)
+    shingles = sum(hashes[k : len(hashes) - SHINGLE + 1 + k] * _PLACES[k] for k in range(SHINGLE))
+    shingles = np.unique(shingles ^ (shingles >> np.uint64(31)))
+    least = np.full((BANDS * BAND, 1), np.iinfo(np.uint64).max)
+    for at in range(0, len(shingles), 1 << 14):
+        mixed = _TIMES * shingles[at : at + (1 << 14)]
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=1, keepdims=True))
+    bands = least.reshape(BANDS, BAND)
+    return [zlib.crc32(b.tobytes()) << 31 ^ zlib.adler32(b.tobytes()) ^ i for i, b in enumerate(bands)]
+
+
+def _article(page: Page, where: list[int]) -> tuple[str, dict[int, set[int]]]:
+    """The text inside the marked article, and the hashes of its blocks by position; nothing if none is marked."""
+    if not is_marked(page):
+        return "", {}
+    blocks, lines = [], {}
+    for at, text, _ in page.blocks:
+        if page.nodes[at].slot and not page.nodes[at].beside:
+            blocks.append(text)
+            lines.setdefault(where[at], set()).add(_hash(text))
+    return "\n".join(blocks), lines
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``(host, reference, template)``: the reference shape of each host and its template positions.
+    """``(host, reference, template, line_at, line)``: the reference shape of each host, its template positions, and the hashes of
+    blocks that are template at a position.
 
-    Counted over all pages ``(id, url, html)``; pages with the same texts count once. A hot host is only ever counted
-    by shape or by text, in partial sums.
+    Counted over all pages ``(id, url, html)``. Pages with near copies of one marked article, or with the same texts if none is
+    marked, weigh together as much as one page. A hot host is only ever counted by shape, family or text, in partial sums.
     """
 
     def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, shapes, signs, texts = [], [], [], []
+            hosts, shapes, names, texts, lines = [], [], [], [], []
             for url, source in zip(batch.column(1), batch.column(2)):
-                shape, _, parts = outline(parse(source.as_py()))
+                page = parse(source.as_py())
+                shape, where, parts = outline(page)
+                article, blocks = _article(page, where)
                 hosts.append(host(url.as_py()))
                 shapes.append(shape)
-                texts.append([_hash(t) if t else None for t in parts])
-                signs.append(_hash("\n".join(parts)))
-            data = [pa.array(hosts, pa.string()), pa.array(shapes, pa.string()), pa.array(signs, pa.int64()), pa.array(texts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(data, names=["host", "shape", "sign", "texts"])
-
-    seen = stored(pages.mapInArrow(outlines, "host string, shape string, sign long, texts array<long>"), "page-outlines")
+                texts.append([_hash(t) if t else -1 for t in parts])  # no nulls: pandas would make them floats
+                # The whole text of a position need not be listed again.
+                lines.append([sorted(blocks.get(i, set()) - {t}) for i, t in enumerate(texts[-1])])
+                names.append(families(article) if article else [_hash("\n".join(parts))])
+            long = pa.list_(pa.int64())
+            data = [pa.array(hosts, pa.string()), pa.array(shapes, pa.string()), pa.array(names, long), pa.array(texts, long), pa.array(lines, pa.list_(long))]
+            yield pa.RecordBatch.from_arrays(data, names=["host", "shape", "names", "texts", "lines"])
+
+    schema = "host string, shape string, names array<long>, texts array<long>, lines array<array<long>>"
+    seen = stored(pages.mapInArrow(outlines, schema), "page-outlines")
     votes = seen.groupBy("host", "shape").agg(F.count("*").alias("n"))
     reference = votes.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("reference"))
     reference = stored(reference, "host-references")
 
+    # A page weighs one part of the largest family it belongs to; those alone in all their families need no row.
+    alike = seen.groupBy("host", "names").agg(F.count("*").alias("n"))
+    named = alike.select("host", "names", "n", F.explode("names").alias("family"))
+    crowded = named.groupBy("host", "family").agg(F.sum("n").alias("size")).where("size > 1")
+    weights = named.join(crowded, ["host", "family"]).groupBy("host", "names").agg(F.max("size").alias("size"))
+    weighed = seen.join(weights, ["host", "names"], "left").withColumn("weight", (F.lit(UNIT) / F.coalesce("size", F.lit(1))).cast("long"))
+
     def matched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [
-                (h, ref, position, text, sign)
-                for h, ref, shape, sign, texts in zip(pdf["host"], pdf["reference"], pdf["shape"], pdf["sign"], pdf["texts"])
-                for position, text in zip(align(shape, ref), texts)
-                if position >= 0 and text is not None and text == text
-            ]
-            yield pd.DataFrame(rows, columns=["host", "reference", "position", "text", "sign"])
-
-    known = seen.join(_small(reference), "host").select("host", "reference", "shape", "sign", "texts")
-    texts = known.mapInPandas(matched, "host string, reference string, position int, text long, sign long").distinct()
-    same = texts.groupBy("host", "reference", "position", "text").agg(F.count("*").alias("n"))
-    slots = same.groupBy("host", "reference", "position").agg(F.sum("n").alias("all"), F.max("n").alias("most"))
-    constant = slots.where((F.col("most") >= MIN_PAGES) & (F.col("most") >= MIN_SHARE * F.col("all")))
-    constant = constant.groupBy("host", "reference").agg(F.array_sort(F.collect_list("position")).alias("template"))
+            rows = []
+            for h, ref, shape, weight, texts, lines in zip(*(pdf[c] for c in ("host", "reference", "shape", "weight", "texts", "lines"))):
+                for position, text, more in zip(align(shape, ref), texts, lines):
+                    if position >= 0 and text >= 0:
+                        rows.append((h, ref, position, text, weight, weight))
+                        rows += [(h, ref, position, int(line), weight, 0) for line in more]
+            yield pd.DataFrame(rows, columns=["host", "reference", "position", "text", "weight", "whole"])
+
+    known = weighed.join(_small(reference), "host").select("host", "reference", "shape", "weight", "texts", "lines")
+    texts = known.mapInPandas(matched, "host string, reference string, position int, text long, weight long, whole long")
+    place = ["host", "reference", "position"]
+    same = texts.groupBy(*place, "text").agg(F.sum("weight").alias("n"), F.sum("whole").alias("whole"))
+    least = int(MIN_PAGES * UNIT * 0.999)  # shares of a family are cut to whole numbers
+    slots = same.groupBy(*place).agg(
+        F.sum("whole").alias("all"), F.max("whole").alias("most"),
+        F.collect_list(F.when(F.col("n") >= least, F.struct("n", "text"))).alias("often"),
+    )
+    enough = lambda n: (n >= least) & (n >= MIN_SHARE * F.col("all"))
+    often = F.transform(F.filter("often", lambda x: enough(x["n"])), lambda x: x["text"])
+    slots = slots.select(*place, enough(F.col("most")).alias("fixed"), often.alias("often")).where(F.size("often") > 0)
+    line = F.transform("often", lambda x: F.struct(F.col("position").alias("position"), x.alias("text")))
+    constant = slots.groupBy("host", "reference").agg(
+        F.array_sort(F.collect_list(F.when(F.col("fixed"), F.col("position")))).alias("template"),
+        F.array_sort(F.flatten(F.collect_list(line))).alias("lines"),
+    )
+    constant = constant.select("host", "reference", "template", F.col("lines.position").alias("line_at"), F.col("lines.text").alias("line"))
     return stored(constant, "host-wrappers")
 
 
@@ -377,16 +447,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for source, reference, template in zip(batch.column(2), batch.column(3), batch.column(4)):
+            for source, reference, template, *lines in zip(*batch.columns[2:]):
                 page = parse(source.as_py())
                 if reference.is_valid:
                     shape, where, _ = outline(page)
-                    out.append(main_text(page, set(template.as_py()), where, align(shape, reference.as_py())))
+                    known = set(zip(*(x.as_py() for x in lines)))
+                    out.append(main_text(page, set(template.as_py()), where, align(shape, reference.as_py()), known))
                 else:
                     out.append(main_text(page, set(), [], None))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["id", "url", "text"])
 
-    return joined.select("id", "url", "html", "reference", "template").mapInArrow(run, schema)
+    return joined.select("id", "url", "html", "reference", "template", "line_at", "line").mapInArrow(run, schema)
 
 
 @query(tested_by="tests/llm/test_learned_operators.py")

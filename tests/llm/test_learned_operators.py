@@ -152,6 +152,19 @@ def test_template_is_learned_by_host(spark):
     assert all(got[100 + i] == "Same\ncopy" for i in range(8))
 
 
+def test_template_decides_inside_the_article(spark):
+    """A bare line that all pages of a host repeat inside the article goes; near copies of one article keep all their lines."""
+    said = "<h2>Read on</h2><p>Subscribe to our daily letter</p>"
+    rows = [(i, f"http://x.example/{i}", f"<article><h1>Title {i}</h1><p>Text number {i} of many</p><p>and more {i * 7}</p>{said}</article>") for i in range(8)]
+    story = [f"part {k} of the story tells what happened on day {k * k} in town {k + 5}" for k in range(30)]
+    for i in range(8):
+        parts = [p.replace("town", f"village{i}") if k == 3 * i else p for k, p in enumerate(story)]
+        rows.append((100 + i, f"http://y.example/{i}", "<article><h1>Story</h1><p>" + "</p><p>".join(parts) + "</p></article>"))
+    got = {r["id"]: r["text"] for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Title {i}\nText number {i} of many\nand more {i * 7}" for i in range(8))
+    assert all(len(got[100 + i].split("\n")) == 31 and f"village{i} {3 * i + 5}" in got[100 + i] for i in range(8))
+
+
 def test_names_and_raw_elements_keep_article_text():
     """Parts of class names, hints around the article, and elements without an end tag of their own hide no text."""
     text = lambda html: wrapper.main_text(wrapper.parse(html), set(), [], None)
