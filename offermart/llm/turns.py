@@ -223,8 +223,10 @@ def ordered(rows: DataFrame) -> DataFrame:
 
     Dealt out by ranges of that order and stored, so a conversation with a third of all rows spreads over many tasks.
     """
-    order = ["conv", F.col("turn").asc_nulls_first(), "role", "text", "copy"]
-    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    numbered = ["conv", F.col("turn").asc_nulls_first()]
+    begins = [F.substring(c, 1, 32) for c in ("role", "text")]  # the keys that are sampled for the ranges stay short
+    dealt = rows.repartitionByRange(*numbered, *begins)
+    placed = dealt.sortWithinPartitions(*numbered, "role", "text", "copy").withColumn("at", F.monotonically_increasing_id())
     # The text's own hashes tell rows apart from here on; whole texts are read again only for the repaired conversation.
     hashes = [F.xxhash64("role", "text").alias("h1"), F.xxhash64("text", "role").alias("h2")]
     shown = F.regexp_extract("text", rf"({NOT_SPACE})[\x20\x09-\x0D]*$", 1)
