@@ -81,6 +81,13 @@ def _final(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return users, cards
 
 
+TITLED = "CAST(substr(id_offre, 3) AS BIGINT) % 7 <> 0"
+
+
+def _untitled(cards: DataFrame) -> DataFrame:
+    return cards.withColumn("titre_clean", F.when(F.expr(TITLED), F.col("titre_clean")))
+
+
 @query(f"{WITH_MATCH},\n{FINAL} SELECT id_utilisateur, id_offre, communs, score_match FROM scored {BEST.format(k=3)}")
 def match_final(spark, sf_dir):
     users, cards = _final(spark, sf_dir)
@@ -88,15 +95,16 @@ def match_final(spark, sf_dir):
 
 
 @query(
-    f"{WITH_MATCH},\n{FINAL}, best AS (SELECT * FROM scored {BEST.format(k=10)}) SELECT id_utilisateur, id_offre, communs, score_match, "
+    f"{WITH_MATCH},\n{FINAL}, best AS (SELECT * FROM scored WHERE {TITLED} {BEST.format(k=10)}) SELECT id_utilisateur, id_offre, communs, score_match, "
     "titre_clean AS titre, coalesce(e.nom, 'Entreprise inconnue') AS entreprise, f.ville, CAST(salaire_mensuel AS INT) AS salaire, source, "
     "coalesce(url, '#') AS url, array_to_string(list_sort(list_intersect(o_sets.l, c_sets.l)), '|') AS competences_matchees "
     "FROM best JOIN offres f USING (id_offre) LEFT JOIN entreprises e USING (id_entreprise) JOIN o_sets USING (id_offre) "
     "JOIN c_sets USING (id_utilisateur)"
 )
 def reco_topk(spark, sf_dir):
+    """Every seventh offer has lost its title, so it is not recommended."""
     users, cards = _final(spark, sf_dir)
-    return match.recommend(users, cards, 10).withColumn("competences_matchees", F.array_join("competences_matchees", "|"))
+    return match.recommend(users, _untitled(cards), 10).withColumn("competences_matchees", F.array_join("competences_matchees", "|"))
 
 
 @query(f"{WITH_MATCH} SELECT id_utilisateur, count(*) AS offres FROM shared GROUP BY id_utilisateur")
@@ -104,14 +112,38 @@ def shared_offer_counts(spark, sf_dir):
     return match.shared_offer_counts(_candidates(spark, sf_dir), _cards(spark, sf_dir))
 
 
-@query()
+# Words by row, their rarity, and cosines of the weighted counts.
+WORDS = r"list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{N}}_]+'), lambda w: w <> '')"
+TERMS = f"""o_words AS (SELECT id_offre, mot, count(*) AS n FROM (SELECT id_offre, unnest({WORDS.format(text="coalesce(recherche_text, '')")}) AS mot
+  FROM offres) GROUP BY ALL),
+rarity AS (SELECT mot, ln(((SELECT count(*) FROM offres) + 1) / (count(*) + 1)) AS r FROM o_words GROUP BY mot),
+o_w AS (SELECT id_offre, mot, n * r AS w FROM o_words JOIN rarity USING (mot)),
+o_len AS (SELECT id_offre, sqrt(sum(w * w)) AS l FROM o_w GROUP BY id_offre),
+c_words AS (SELECT l AS cl, mot, count(*) AS n FROM (SELECT l, unnest({WORDS.format(text="array_to_string(l, ' ')")}) AS mot
+  FROM (SELECT DISTINCT l FROM c_sets)) GROUP BY ALL),
+c_w AS (SELECT cl, mot, n * r AS w FROM c_words JOIN rarity USING (mot)),
+c_len AS (SELECT cl, sqrt(sum(w * w)) AS l FROM c_w GROUP BY cl),
+dots AS (SELECT cl, id_offre, sum(c_w.w * o_w.w) AS d FROM c_w JOIN o_w USING (mot) GROUP BY ALL),
+cos AS (SELECT cl, id_offre, CASE WHEN c_len.l * o_len.l = 0 THEN 0 ELSE d / (c_len.l * o_len.l) END AS c FROM dots JOIN c_len USING (cl)
+  JOIN o_len USING (id_offre)),
+scored AS (SELECT s.id_utilisateur, id_offre, communs, round_even(round(100 * (0.5::DOUBLE * coalesce(c, 0) + 0.35::DOUBLE * (communs / n_offre)
+  + 0.15::DOUBLE * ((CASE WHEN w.contrat = f.type_contrat THEN 1.0 ELSE 0.0 END)::DOUBLE
+  + (CASE WHEN contains(lower(f.ville), lower(w.ville)) THEN 1.0 ELSE 0.5 END)::DOUBLE) / 2), 6), 1) AS score_match
+  FROM shared s JOIN o_sets USING (id_offre) JOIN wants w ON w.id_utilisateur = s.id_utilisateur JOIN offres f USING (id_offre)
+  JOIN c_sets ON c_sets.id_utilisateur = s.id_utilisateur LEFT JOIN cos USING (cl, id_offre) WHERE f.titre_clean IS NOT NULL)"""
+TERMS = TERMS.replace("LEFT JOIN cos USING (cl, id_offre)", "LEFT JOIN cos ON cos.cl = c_sets.l AND cos.id_offre = f.id_offre").replace(
+    "SELECT s.id_utilisateur, id_offre", "SELECT s.id_utilisateur, f.id_offre"
+)
+
+
+@query(f"{WITH_MATCH},\n{TERMS} SELECT id_utilisateur, id_offre, communs, score_match FROM scored {BEST.format(k=5)}")
 def reco_term_vectors(spark, sf_dir):
-    """Blended recommendations with the built-in text vectors of skills and descriptions."""
-    offers = warehouse(spark, sf_dir).offres
-    cards = _cards(spark, sf_dir)
-    encoder = match.TermEncoder().fit(offers, F.col("description_clean"))
-    users = encoder.transform(_candidates(spark, sf_dir), F.array_join("competences", " "))
-    return match.match_top(users, encoder.transform(cards, F.col("description_clean")), 5)
+    """Blended recommendations with exact sparse vectors of the skills and of the whole search text, in which no description is cut."""
+    cards = _cards(spark, sf_dir).filter(F.col("titre_clean").isNotNull())
+    encoder = match.TermEncoder().fit(warehouse(spark, sf_dir).offres, "id_offre", F.col("recherche_text"))
+    users = encoder.transform(_candidates(spark, sf_dir), "id_utilisateur", F.array_join("competences", " "))
+    offers = encoder.transform(cards, "id_offre", F.col("recherche_text"), only=users)
+    return match.match_top(users, offers, 5)
 
 
 @query(
@@ -168,19 +200,43 @@ def cosine_column(spark, sf_dir):
 
 
 CV = "'CV : ' || CASE id_utilisateur % 4 WHEN 0 THEN 'Python et SQL' WHEN 1 THEN 'Spark, Kafka; python' WHEN 2 THEN 'cuisine' ELSE 'Docker' END"
+CV_SKILLS = (
+    f"cvs AS (SELECT id_utilisateur, {CV} AS text FROM candidates WHERE id_utilisateur % 3 = 0), fresh AS "
+    f"(SELECT id_utilisateur, lower(unnest({L.substring_list('text', V.SKILLS_CV)})) AS nom_competence FROM cvs)"
+)
+
+
+def _upload(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every third candidate uploads a CV: all skills afterwards, and the recommendation rows that were appended."""
+    people = candidates(spark, sf_dir)
+    cvs = people.filter("id_utilisateur % 3 = 0").select(F.col("id_utilisateur").alias("cv_id"), F.expr(CV.replace("id_utilisateur", "cv_id")).alias("text"))
+    old = candidate_skills(spark, sf_dir).drop("annee_experience")
+    path = f"{shared_dir(spark)}/offermart-upload-{uuid.uuid4().hex[:12]}"
+    after, _ = upload(cvs, people, old, _untitled(_cards(spark, sf_dir)), path, RUN_AT, k=3)
+    return after, spark.read.parquet(path)
 
 
 @query(
-    f"WITH {CANDIDATES_CTE}, cvs AS (SELECT id_utilisateur, {CV} AS text FROM candidates WHERE id_utilisateur % 3 = 0), fresh AS "
-    f"(SELECT id_utilisateur, lower(unnest({L.substring_list('text', V.SKILLS_CV)})) AS nom_competence FROM cvs) "
+    f"WITH {CANDIDATES_CTE}, {CV_SKILLS} "
     "SELECT id_utilisateur, nom_competence FROM candidate_skills WHERE id_utilisateur NOT IN (SELECT id_utilisateur FROM fresh) "
     "UNION ALL SELECT id_utilisateur, nom_competence FROM fresh"
 )
 def cv_upload(spark, sf_dir):
-    """Skills of all candidates after every third has uploaded a CV; the recommendations are appended beside."""
-    people = candidates(spark, sf_dir)
-    cvs = people.filter("id_utilisateur % 3 = 0").select(F.col("id_utilisateur").alias("cv_id"), F.expr(CV.replace("id_utilisateur", "cv_id")).alias("text"))
-    old = candidate_skills(spark, sf_dir).drop("annee_experience")
-    path = f"{shared_dir(spark)}/offermart-upload-{uuid.uuid4().hex[:12]}"
-    after, _ = upload(cvs, people, old, _cards(spark, sf_dir), path, RUN_AT, k=3)
-    return after.select("id_utilisateur", "nom_competence")
+    """Skills of all candidates after every third has uploaded a CV."""
+    return _upload(spark, sf_dir)[0].select("id_utilisateur", "nom_competence")
+
+
+@query(
+    f"{L.WITH_STAR},\n{CANDIDATES_CTE}, {CV_SKILLS}, o_skills AS (SELECT DISTINCT id_offre, lower(nom) AS s FROM offre_competence "
+    "JOIN competences USING (id_competence)), n_skills AS (SELECT id_offre, count(*) AS n_offre FROM o_skills GROUP BY id_offre), "
+    "shared AS (SELECT id_utilisateur, id_offre, count(*) AS communs FROM (SELECT DISTINCT * FROM fresh) JOIN o_skills ON s = nom_competence "
+    "GROUP BY ALL), scored AS (SELECT id_utilisateur, id_offre, round_even(round(100 * (0.35::DOUBLE * (communs / n_offre) + 0.15::DOUBLE * "
+    "((CASE WHEN coalesce(contrat_souhaite, 'CDI') = type_contrat THEN 1.0 ELSE 0.0 END)::DOUBLE + (CASE WHEN contains(lower(ville), "
+    "lower(coalesce(ville_souhaitee, 'Paris'))) THEN 1.0 ELSE 0.5 END)::DOUBLE) / 2), 6), 1) AS score_match FROM shared JOIN n_skills "
+    f"USING (id_offre) JOIN offres USING (id_offre) JOIN candidates USING (id_utilisateur) WHERE {TITLED}) "
+    "SELECT id_utilisateur, id_offre, source, score_match AS score_recommandation, TIMESTAMP '2024-02-01 06:00:00' AS date_recommandation, "
+    f"false AS est_consulte, false AS est_sauvegarde FROM (SELECT * FROM scored {BEST.format(k=3)}) JOIN offres USING (id_offre)"
+)
+def cv_recommendations(spark, sf_dir):
+    """The rows an upload appends, in which no untitled offer is named."""
+    return _upload(spark, sf_dir)[1].withColumn("score_recommandation", F.col("score_recommandation").cast("double"))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offermart.operators.keys import dense_keys
+from offermart.operators.match import ProductScorer
+from offermart.operators.search import search
 
 
 def best_scores(df: DataFrame, user: str, item: str, score: str) -> DataFrame:
@@ -33,9 +35,16 @@ def train(rows: DataFrame, seed: int = 42, rank: int = 10) -> ALSModel:
     return als.fit(rows)
 
 
-def top_offers(model: ALSModel, n: int = 10) -> DataFrame:
-    """``(user_id, offre_id, score, rang)`` of the ``n`` best offers per user."""
-    listed = model.recommendForAllUsers(n)
-    ranked = listed.select("user_id", F.posexplode("recommendations").alias("rang", "r"))
-    return ranked.select("user_id", F.col("r.offre_id").alias("offre_id"), F.col("r.rating").alias("score"),
-                         (F.col("rang") + 1).alias("rang"))
+def top_offers(model: ALSModel, n: int = 10, trace: list | None = None) -> DataFrame:
+    """``(user_id, offre_id, score, rang)`` of the ``n`` best offers per user; ties go to the smaller offer.
+
+    The score is the product of the factors. Offers lie in cells by direction and length, and a user's factors are multiplied only with
+    the cells whose bound reaches the user's ``n``-th score, not with all offers.
+    """
+    users = model.userFactors.select(F.col("id").alias("query"), F.col("features").alias("vecteur"))
+    items = model.itemFactors.select("id", F.col("features").alias("vecteur"))
+    best = search(users, items, "id", n, ProductScorer(), "vecteur", cosine=False, trace=trace)
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("value"), F.asc("id")))
+    return best.select(
+        F.col("query").alias("user_id"), F.col("id").alias("offre_id"), F.col("value").cast("float").alias("score"), rank.alias("rang")
+    )

@@ -26,7 +26,6 @@ def upload(
     )
     uploaded = candidates.join(cvs.select(F.col("cv_id").alias("id_utilisateur")), "id_utilisateur", "left_semi")
     profiles = match.candidate_profiles(uploaded, found)
-    titled = cards.filter(F.col("titre_clean").isNotNull())
-    recommendations = match.recommend(profiles, titled, k)
+    recommendations = match.recommend(profiles, cards, k)
     append_recommendations(recommendations, path, run_at)
     return replace_skills(skills, found), recommendations

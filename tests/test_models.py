@@ -1,12 +1,15 @@
 """Operators against plain Python models on random, skewed rows."""
 
 import datetime as dt
+import math
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from offermart.operators import dedup, keys, market, match
+from offermart.operators import dedup, keys, market, match, search
 from offermart.operators import star as S
 from offermart.sources import read_bronze_with_rejects, read_cvs
 
@@ -108,10 +111,9 @@ def test_match_top_is_the_full_comparison(spark, monkeypatch):
          rng.choice(["Paris", "Lyon"]), rng.choice(["CDI", None]))
         for i in range(60)
     ]
-    # Several blocks, chunks and slices, with a class larger than any of them.
-    monkeypatch.setattr(match, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(match, "CHUNK_ROWS", 50)
-    monkeypatch.setattr(match, "SLICE_ROWS", 16)
+    # Several blocks, cells and slices, with a class larger than any of them.
+    for name, value in {"BLOCK_ROWS": 7, "CELL_ROWS": 5, "ASKED_ROWS": 4, "BUCKET_BITS": 1, "ROUNDS": (1, 3, None)}.items():
+        monkeypatch.setattr(search, name, value)
     got = match.match_top(
         spark.createDataFrame(users, "id_utilisateur long, competences array<string>, ville string, contrat string"),
         spark.createDataFrame(offers, "id_offre string, competences array<string>, ville string, type_contrat string"),
@@ -161,36 +163,113 @@ def test_cv_text_drops_bad_bytes(spark, tmp_path):
     assert [tuple(r) for r in read_cvs(spark, str(tmp_path)).collect()] == [("jean", "Python et SQL")]
 
 
-def test_term_vectors_rank_like_a_full_comparison(spark):
-    import numpy as np
-
+def test_term_vectors_are_exact_and_rank_like_a_full_comparison(spark):
     rng = random.Random(11)
-    words = ["python", "sql", "spark", "équipe", "mission", "lyon", "cloud"]
-    texts = [(f"o{i}", " ".join(rng.choice(words) for _ in range(rng.randrange(1, 30))), ["Python", "SQL"]) for i in range(80)]
+    words = ["python", "sql", "spark", "équipe", "mission", "lyon", "cloud", "c++"]
+    texts = [(f"o{i}", " ".join(rng.choice(words) for _ in range(rng.randrange(0, 30))) + " Fin." * (i % 2), ["Python", "SQL"]) for i in range(80)]
+    texts += [("long", "mission " * 3000 + "python", ["SQL"]), ("null", None, ["SQL"])]
     offers = spark.createDataFrame(texts, "id_offre string, texte string, competences array<string>").withColumns(
         {"ville": F.lit("Lyon"), "type_contrat": F.lit("CDI")}
     )
     users = spark.createDataFrame(
-        [(1, ["python"]), (2, ["sql"]), (3, ["python", "sql"])], "id_utilisateur long, competences array<string>"
+        [(1, ["python"]), (2, ["sql"]), (3, ["python", "sql"]), (4, ["cobol", "sql"])], "id_utilisateur long, competences array<string>"
     ).withColumns({"ville": F.lit("Lyon"), "contrat": F.lit("CDI")})
-    encoder = match.TermEncoder(dims=64).fit(offers, F.col("texte"))
-    users = encoder.transform(users, F.array_join("competences", " "))
-    offers = encoder.transform(offers, F.col("texte"))
-    got = {(r.id_utilisateur, r.id_offre, r.score_match) for r in match.match_top(users, offers, 3).collect()}
+    encoder = match.TermEncoder().fit(offers, "id_offre", F.col("texte"))
+    asked = encoder.transform(users, "id_utilisateur", F.array_join("competences", " "))
+    offered = encoder.transform(offers, "id_offre", F.col("texte"), only=asked)
+    got = {(r.id_utilisateur, r.id_offre, r.score_match) for r in match.match_top(asked, offered, 3).collect()}
+
+    split = lambda t: Counter(w for w in re.split(r"\W+", (t or "").lower()) if w)
+    counted = {o: split(t) for o, t, _ in texts}
+    df = Counter(w for c in counted.values() for w in c)
+    weigh = lambda c: {w: n * math.log((len(texts) + 1) / (df[w] + 1)) for w, n in c.items() if w in df}
 
-    def unit(v):
-        v = np.array(v, dtype=float)
-        return v / (np.linalg.norm(v) or 1)
+    def cosine(a, b):
+        length = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / length if length else 0.0
 
     want = set()
-    for u in users.collect():
+    for user, skills in ((1, ["python"]), (2, ["sql"]), (3, ["python", "sql"]), (4, ["cobol", "sql"])):
         scored = []
-        for o in offers.collect():
-            cos = float(unit(u.vecteur) @ unit(o.vecteur))
-            final = 0.5 * cos + 0.35 * len(u.competences) / 2 + 0.15
-            scored.append((-round(round(final * 100, 6), 1), o.id_offre))
-        want |= {(u.id_utilisateur, o, -s) for s, o in sorted(scored)[:3]}
+        for offer, _, offered_skills in texts:
+            shared = len(set(skills) & {s.lower() for s in offered_skills})
+            if shared:
+                cos = cosine(weigh(split(" ".join(skills))), weigh(counted[offer]))
+                scored.append((-round(round(100 * (0.5 * cos + 0.35 * shared / len(offered_skills) + 0.15), 6), 1), offer))
+        want |= {(user, o, -s) for s, o in sorted(scored)[:3]}
     assert got == want
+    whole = {r.id_offre: dict(zip(r.termes, r.poids)) for r in encoder.transform(offers, "id_offre", F.col("texte")).collect()}
+    assert all(abs(sum(w * w for w in v.values()) - 1) < 1e-9 for v in whole.values() if v)
+
+
+def near_centres(rng, n, dims=12, centres=40, spread=0.05):
+    import numpy as np
+
+    middle = rng.normal(size=(centres, dims))
+    return (middle[rng.integers(0, centres, n)] + rng.normal(0, spread, (n, dims))).astype(np.float32)
+
+
+@pytest.mark.parametrize("cosine", [True, False])
+def test_search_prunes_and_stays_exact(spark, monkeypatch, cosine):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    items, queries = near_centres(rng, 6000) * rng.uniform(0.5, 2, (6000, 1)).astype(np.float32), near_centres(rng, 50)
+    items[100:2100] = items[7]  # a third of all rows is one vector
+    items[5], queries[3] = 0, 0
+    for name, value in {"CELL_ROWS": 32, "BUCKET_BITS": 2, "ASKED_ROWS": 16}.items():
+        monkeypatch.setattr(search, name, value)
+    left = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query long, v array<float>")
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "id long, v array<float>").repartition(6)
+    trace = []
+    found = search.search(left, right, "id", 5, match.ProductScorer(4), "v", cosine, trace=trace)
+    got = sorted((r["query"], -r["value"], r["id"]) for r in found.collect())
+    a, b = queries.astype(float), items.astype(float)
+    if cosine:
+        a, b = search.unit(a)[0], search.unit(b)[0]
+    steps = np.rint(a @ b.T * 10_000)
+    want = sorted((q, -steps[q, i], i) for q in range(50) for i in np.lexsort((np.arange(6000), -steps[q]))[:5])
+    assert got == [(q, v, int(i)) for q, v, i in want]
+    assert sum(pairs for _, pairs in trace) < 50 * 6000 / 4
+
+
+def test_search_of_nothing(spark):
+    schema = "query long, v array<float>"
+    none, one = spark.createDataFrame([], schema), spark.createDataFrame([(1, [1.0, 0.0])], schema)
+    for left, right, rows in ((none, one, 0), (one, none, 0), (one, one, 1)):
+        found = search.search(left, right.withColumnRenamed("query", "id"), "id", 3, match.ProductScorer(), "v")
+        assert found.count() == rows
+
+
+def test_matching_by_vectors_visits_few_cells(spark):
+    """Blended scores over clustered vectors: the full comparison's result from a small part of the pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    names = ["python", "sql", "spark", "kafka", "airflow", "r"]
+    pick = lambda: sorted(rng.choice(names, rng.integers(1, 4), replace=False).tolist())
+    o_vec, u_vec = near_centres(rng, 4000), near_centres(rng, 40)
+    offers = [(f"o{i:04}", pick(), ["Paris", "Lyon"][i % 2], ["CDI", "CDD", None][i % 3], v.tolist()) for i, v in enumerate(o_vec)]
+    users = [(i, pick(), ["Paris", "Nice"][i % 2], ["CDI", None][i % 2], v.tolist()) for i, v in enumerate(u_vec)]
+    trace = []
+    got = match.match_top(
+        spark.createDataFrame(users, "id_utilisateur long, competences array<string>, ville string, contrat string, vecteur array<float>"),
+        spark.createDataFrame(offers, "id_offre string, competences array<string>, ville string, type_contrat string, vecteur array<float>"),
+        4, trace=trace,
+    )
+    cos = search.unit(u_vec.astype(float))[0] @ search.unit(o_vec.astype(float))[0].T
+    want = set()
+    for user, skills, city, contract, _ in users:
+        scored = []
+        for i, (offer, offered, place, kind, _) in enumerate(offers):
+            shared = len(set(skills) & set(offered))
+            if shared:
+                fits, near = float(contract is None or contract == kind), 1.0 if city.lower() in place.lower() else 0.5
+                total = round(100 * (0.5 * cos[user, i] + 0.35 * shared / len(offered) + 0.15 * (fits + near) / 2), 6)
+                scored.append((-round(total, 1), offer, shared))
+        want |= {(user, offer, shared, -score) for score, offer, shared in sorted(scored)[:4]}
+    assert {(r.id_utilisateur, r.id_offre, r.communs, r.score_match) for r in got.collect()} == want
+    assert sum(pairs for _, pairs in trace) < 40 * 4000 / 3
 
 
 def test_encoder_model_runs_in_batches(spark):
@@ -214,6 +293,13 @@ def test_als_ranks_and_is_saved(spark, tmp_path):
     assert ratings.count() == len(rows) and ids.count() == len({o for _, o, _ in rows})
     model = als.train(ratings)
     top = als.top_offers(model, 3).collect()
+    users = {r.id: r.features for r in model.userFactors.collect()}
+    items = {r.id: r.features for r in model.itemFactors.collect()}
+    for user, own in users.items():  # the list of each user is the best of all products
+        products = sorted((-sum(a * b for a, b in zip(own, item)), i) for i, item in items.items())[:3]
+        mine = sorted((r.rang, r.offre_id, r.score) for r in top if r.user_id == user)
+        assert [i for _, i, _ in mine] == [i for _, i in products]
+        assert [round(s, 4) for *_, s in mine] == [round(-p, 4) for p, _ in products]
     assert {r.rang for r in top} == {1, 2, 3} and len(top) == 3 * ratings.select("user_id").distinct().count()
     save_model(model, str(tmp_path / "model"))
     assert ALSModel.load(str(tmp_path / "model")).rank == 10
