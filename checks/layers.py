@@ -11,6 +11,7 @@ from offermart import vocab as V
 from offermart.functions import labels, skills, text
 from offermart.functions.values import finite, to_number
 from offermart.operators import dedup
+from offermart.operators.terms import find_terms
 from offermart.plans import layers
 
 
@@ -153,6 +154,40 @@ def doc_nested_terms(spark, sf_dir):
     return spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.array_join(found, "|").alias("mots"))
 
 
+# Every fourth text says something about tools; the terms are all words of the conversations, all pairs of neighbours in the benchmark, and a few more.
+_TOOLS = "text || CASE doc_id % 4 WHEN 0 THEN ' Node.js, C++ (ml-ops)' WHEN 1 THEN ' c+ .net C++11 node js' WHEN 2 THEN ' mlops; c++.' ELSE '' END"
+FEW_TERMS = ["C", "C++", "Node.js", "node", "js", "MLOps", "ml-ops", "ML", "ops", ".NET", "c++11", "+", "é"]
+_WORD = r"[\p{L}\p{N}_]+"
+
+
+def vocabulary_table(spark, sf_dir):
+    words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
+    single = table(spark, sf_dir, "conversations").select(F.explode(words).alias("terme"))
+    double = table(spark, sf_dir, "benchmark").select(words.alias("w")).where(F.size("w") > 1).select(F.explode(pairs).alias("terme"))
+    return single.unionByName(double).unionByName(spark.createDataFrame([(t,) for t in FEW_TERMS], "terme string")).distinct()
+
+
+@query(
+    rf"""WITH words AS (SELECT regexp_extract_all(lower(text), '{_WORD}') AS w FROM benchmark),
+    terms AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{_WORD}')) AS terme FROM conversations
+      UNION SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+      UNION SELECT unnest({FEW_TERMS})),
+    texts AS (SELECT doc_id, lower({_TOOLS}) AS t FROM documents),
+    cut AS (SELECT doc_id, regexp_extract_all(t, '{_WORD}') AS w, regexp_extract_all(t, '{_WORD}([^\p{{L}}\p{{N}}_]*)', 1) AS g FROM texts),
+    runs AS (SELECT DISTINCT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || g[i] || w[i + 1]))) AS run FROM cut),
+    plain AS (SELECT doc_id, terme FROM runs JOIN terms ON run = lower(terme)
+      WHERE regexp_full_match(terme, '[\p{{L}}\p{{N}}_](.*[\p{{L}}\p{{N}}_])?')),
+    signed AS (SELECT doc_id, terme FROM texts, (VALUES ('C++', '(^|[^\p{{L}}\p{{N}}_])c\+\+($|[^\p{{L}}\p{{N}}_])'),
+      ('.NET', '(^|[^\p{{L}}\p{{N}}_])\.net($|[^\p{{L}}\p{{N}}_])')) AS v(terme, p) WHERE regexp_matches(t, p))
+    SELECT doc_id, terme FROM plain UNION SELECT doc_id, terme FROM signed"""
+)
+def doc_vocabulary(spark, sf_dir):
+    """Terms of a large table in all documents, signs and neighbours included."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr(_TOOLS).alias("text"))
+    return find_terms(spread(docs, "doc_id"), "doc_id", "text", vocabulary_table(spark, sf_dir))
+
+
 @query(
     "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS valeur, CASE WHEN event_id % 3 = 0 THEN NULL ELSE "
     "CAST(value AS DOUBLE) END AS nombre FROM events"

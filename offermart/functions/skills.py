@@ -1,9 +1,10 @@
 """Skill extraction.
 
 Whole-word vocabularies are found in one pass over the text: all patterns form one alternation, every hit is reduced
-to a key (separators removed) and the key is looked up. That is exact where patterns match at word boundaries
-and none of them starts inside another, so the leftmost hits are all hits. Terms that share a word with another term
-(``SQL`` and ``SQL Server``) are tested one by one.
+to a key (separators removed) and the key is looked up. That is exact for terms whose pattern is their own letters and digits, with blanks, dashes or
+slashes between them, as long as no two share a word: then no two hits overlap and the leftmost ones are all. Every other term, one that shares a
+word (``SQL`` and ``SQL Server``), holds another sign (``C++``, ``Node.js``) or has a pattern of its own, is tested alone. For tables of very many
+terms see ``operators.terms``.
 """
 
 from __future__ import annotations
@@ -27,15 +28,25 @@ def skill_key(name: str) -> str:
     return re.sub(SEPARATORS, "", name.lower())
 
 
-def _parts(name: str) -> list[str]:
-    return re.split(SEPARATORS, name.lower())
+# What may stand between the letters of a pattern that one pass can look up: blanks, dashes and slashes, optional or not.
+_BETWEEN = r"(?:\[(?:\\s|\\-|[-/ ])+\]|\\s|\\-|\\/|\\ |[-/ ])[?*+]?"
+
+
+def _words(name: str) -> set[str]:
+    """Words that a hit of the name can consist of: its parts, and all of them written together."""
+    return {*re.findall(r"\w+", name.lower()), skill_key(name)}
+
+
+def _regular(name: str, pattern: str) -> bool:
+    parts = re.split(SEPARATORS, name.lower())
+    return re.sub(_BETWEEN, "", pattern) == skill_key(name) and all(re.fullmatch(r"\w+", p) for p in parts) and len(parts) == len(set(parts))
 
 
 def split_overlaps(vocabulary: dict[str, str]) -> tuple[dict[str, str], dict[str, str]]:
-    """Terms that one pass finds, and those that share a word or a key with another term."""
-    uses = Counter(w for name in vocabulary for w in {*_parts(name), skill_key(name)})
-    shared = {n for n in vocabulary if any(uses[w] > 1 for w in {*_parts(n), skill_key(n)}) or len(_parts(n)) != len(set(_parts(n)))}
-    return {n: p for n, p in vocabulary.items() if n not in shared}, {n: vocabulary[n] for n in vocabulary if n in shared}
+    """Terms that one pass finds, and those that are tested alone."""
+    uses = Counter(w for name in vocabulary for w in _words(name))
+    alone = {n for n, p in vocabulary.items() if not _regular(n, p) or any(uses[w] > 1 for w in _words(n))}
+    return {n: p for n, p in vocabulary.items() if n not in alone}, {n: vocabulary[n] for n in vocabulary if n in alone}
 
 
 def find_words(text: Column, vocabulary: dict[str, str]) -> Column:

@@ -1,10 +1,15 @@
 """Unit cases of the column functions: input and expected value, worked out by hand from the rules."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from offermart import vocab as V
 from offermart.functions import labels, salary, skills, text, values
+from offermart.operators import terms as terms_module
+from offermart.operators.terms import find_terms
 
 CASES = {
     "title_a": (lambda c: text.clean_title(c, V.A), [("Data Engineer (H/F)", "Data Engineer"), (None, "")]),
@@ -123,3 +128,43 @@ def test_vocabulary_with_overlapping_terms(spark):
     got = df.select(F.array_join(skills.find_words(F.col("text"), vocabulary), "|"), "want").collect()
     assert all(a == b for a, b in got)
     assert skills.split_overlaps(vocabulary)[0] == {"R": "r"}
+
+
+@pytest.mark.parametrize(
+    "names, text, want",
+    [
+        (["node", "node.js", "c", "c++", "ml", "mlops"], "we use node.js, c++ and ml-ops", "c|c++|ml|node|node.js"),
+        (["node", "node.js", "c", "c++", "ml", "mlops"], "C, mlops; Node js", "c|mlops|node"),
+        (["c++", "c++11", ".net", "a.b"], "c++11 asp.net .net a.b.c c++x", ".net|a.b|c++11"),
+        (["sql", "sql server", "server"], "SQL  Server", "server|sql"),
+        (["+x", "é"], "a+x É +x", "+x|é"),
+    ],
+)
+def test_any_vocabulary_is_found_term_by_term(spark, names, text, want):
+    """One pass, single tests and the join with a table of terms agree, whatever signs the terms hold."""
+    patterns = {n: re.escape(n.lower()) for n in names}
+    plain = sorted(n for n, p in patterns.items() if re.search((r"(?<=\w)" if n[0] == "+" else r"(?<!\w)") + p + r"(?!\w)", text.lower()))
+    assert "|".join(plain) == want
+    df = spark.createDataFrame([(1, text)], "k long, t string")
+    assert df.select(F.array_join(skills.extract_skills(F.col("t"), names, "word"), "|")).first()[0] == want
+    terms = spark.createDataFrame([(n,) for n in [*names, names[0], None, "++"]], "terme string")
+    assert "|".join(sorted(r["terme"] for r in find_terms(df, "k", "t", terms).collect())) == want
+
+
+def test_terms_of_a_table_are_found_as_by_single_tests(spark, monkeypatch):
+    rng = random.Random(8)
+    words = ["a", "b1", "Été", "c++", "x.y", "z", "-", "#", "\n", "日本"]
+    texts = [(i, rng.choice([" ", ""]).join(rng.choice(words) + rng.choice(["", " ", ", "]) for _ in range(rng.randrange(0, 40)))) for i in range(150)]
+    texts += [(150, None), (151, ""), (152, "a " * 20_000 + "x.y")]
+    names = sorted({(rng.choice(["", "", "+", ".", "#"]) + " ".join(rng.choice(["a", "b1", "été", "z", "x.y", "日本"]) for _ in range(rng.randrange(1, 4))) + rng.choice(["", "", "++", "#"])) for _ in range(120)})
+    df, terms = spark.createDataFrame(texts, "k long, t string"), spark.createDataFrame([(n,) for n in names], "nom string")
+    want = set()
+    for k, text in texts:
+        for n in names:
+            begin = r"(?<=\w)" if n[0] == "+" else r"(?<!\w)"
+            if re.search(begin + re.escape(n.lower()) + r"(?!\w)", (text or "").lower()):
+                want.add((k, n))
+    for rows in (1_000, 0):  # broadcast and shuffled
+        monkeypatch.setattr(terms_module, "BROADCAST_ROWS", rows)
+        assert {tuple(r) for r in find_terms(df, "k", "t", terms, "nom").collect()} == want
+    assert len(want) > 300 and find_terms(df, "k", "t", terms.limit(0), "nom").count() == 0
