@@ -11,6 +11,7 @@ from offermart import schemas as S
 from offermart import vocab as V
 from offermart.functions.values import finite
 from offermart.operators.keys import extend_dimension
+from offermart.operators.ranking import top_per_group
 from offermart.sources import conform
 
 # Of several rows with one id the first gives every value but these, which the last one gives.
@@ -61,12 +62,11 @@ def skill_dimension(gold: DataFrame, existing: DataFrame | None = None) -> DataF
 def _ends(rows: DataFrame, first: str, last: str) -> DataFrame:
     """``(id_offre, first, last)``: of every id the structs with the smallest and the greatest order ``o``.
 
-    Ids and orders are aggregated alone; the two rows of an id are then picked by a join. Orders are unique per row.
+    Both ends are cut to one row per id and task before they are shuffled, each with its own columns only, and then meet where they are. Rows dealt by
+    id already, such as stored buckets, are not shuffled at all. Orders are unique per row.
     """
-    ends = rows.groupBy("id_offre").agg(F.min(f"{first}.o").alias("_low"), F.max(f"{last}.o").alias("_high"))
-    both = rows.join(ends, "id_offre")
-    lows = both.filter(F.col(f"{first}.o") == F.col("_low")).select("id_offre", F.col(first).alias("first"))
-    highs = both.filter(F.col(f"{last}.o") == F.col("_high")).select("id_offre", F.col(last).alias("last"))
+    lows = top_per_group(rows.select("id_offre", F.col(first).alias("first")), ["id_offre"], [F.col("first.o").asc()], 1)
+    highs = top_per_group(rows.select("id_offre", F.col(last).alias("last")), ["id_offre"], [F.col("last.o").desc()], 1)
     return lows.join(highs, "id_offre")
 
 

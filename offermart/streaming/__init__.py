@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
 
 # Key of each dimension.
 DIMENSIONS = {"entreprises": "id_entreprise", "competences": "id_competence"}
+BUCKETS = 32  # of the stored states and pairs, by the hash of the offer
 
 
 def _stored(spark: SparkSession, path: str, name: str, before: int | None = None) -> DataFrame | None:
@@ -55,50 +57,80 @@ def _stored(spark: SparkSession, path: str, name: str, before: int | None = None
     return rows if before is None else rows.filter(F.col("batch") < before)
 
 
+def _bucketed(spark: SparkSession, path: str, name: str, schema: str | None = None) -> str:
+    """Name of the table below ``path``, whose files Spark knows to be dealt by the hash of the offer; made known to this session if it is not yet.
+
+    A task reads one bucket of all batches, so rows of an id meet without a shuffle.
+    """
+    table = f"offermart_{name}_{hashlib.md5(path.encode()).hexdigest()}"
+    if not spark.catalog.tableExists(table):
+        schema = schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{path}/{name}").schema.fields if f.name != "batch")
+        spark.sql(
+            f"CREATE TABLE {table} ({schema}, batch INT) USING parquet OPTIONS (path '{path}/{name}') PARTITIONED BY (batch) "
+            f"CLUSTERED BY (id_offre) SORTED BY (id_offre) INTO {BUCKETS} BUCKETS"
+        )
+    return table
+
+
+def _insert(rows: DataFrame, path: str, name: str, batch: int) -> None:
+    """Rows of a batch, in buckets; those of the same batch are replaced."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    table = _bucketed(rows.sparkSession, path, name, schema)
+    dealt = rows.repartition(BUCKETS, "id_offre").sortWithinPartitions("id_offre").withColumn("batch", F.lit(batch))
+    dealt.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+
+
 def upsert(stream: DataFrame, path: str, checkpoint: str, order: str = "ord") -> DataStreamWriter:
     """Incremental warehouse load of a stream of Gold offers with their order.
 
-    Each batch stores its own first and last row per id, its offer-skill pairs, and the companies and skills that no batch
+    Each batch stores its own first and last row per id and its offer-skill pairs, in buckets of the offer, and the companies and skills that no batch
     before it knew, below ``batch=<id>``. Their keys go on after the greatest one, so a key once given stays. A replayed
     batch sees the same earlier batches and replaces its folder, so it gives the same keys and changes nothing.
     """
 
     def store(rows: DataFrame, batch: int) -> None:
         spark, rows = rows.sparkSession, rows.persist()
-        parts = {"states": S.upsert_states(rows, order), "pairs": S.offer_skills(rows)}
+        _insert(S.upsert_states(rows, order), path, "states", batch)
+        _insert(S.offer_skills(rows), path, "pairs", batch)
         names = {"entreprises": S.company_names(rows), "competences": S.skill_names(rows)}
         for name, key in DIMENSIONS.items():
             known = _stored(spark, path, name, batch)
             if known is None:
-                parts[name] = S.extend_dimension(None, names[name], "nom", key)
+                table = S.extend_dimension(None, names[name], "nom", key)
             else:
                 fresh = names[name].join(known.select("nom"), "nom", "left_anti")
                 greatest = known.agg(F.max(key)).first()[0] or 0
-                parts[name] = dense_keys(fresh, "nom", key, greatest)
-        for name, table in parts.items():
+                table = dense_keys(fresh, "nom", key, greatest)
             table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{name}/batch={batch}")
         rows.unpersist()
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
+def _history(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Merged states and distinct pairs of all batches, bucket by bucket, and the dimensions."""
+    for name in ("states", "pairs"):
+        spark.catalog.recoverPartitions(_bucketed(spark, path, name))
+    return {
+        "states": S.merge_states(spark.table(_bucketed(spark, path, "states"))),
+        "pairs": spark.table(_bucketed(spark, path, "pairs")).select("id_offre", "nom").dropDuplicates(),
+        **{name: spark.read.parquet(f"{path}/{name}").select(key, "nom") for name, key in DIMENSIONS.items()},
+    }
+
+
 def read_upserted(spark: SparkSession, path: str) -> S.Star:
     """Star schema of everything stored so far: first and last rows merge over the batches as they do within one."""
-    rows = S.fact_rows(S.merge_states(spark.read.parquet(f"{path}/states")))
-    pairs = spark.read.parquet(f"{path}/pairs").select("id_offre", "nom").dropDuplicates()
-    companies, skills = (
-        spark.read.parquet(f"{path}/{name}").select(key, "nom") for name, key in DIMENSIONS.items()
-    )
-    return S.Star(companies, skills, S.with_company_key(rows, companies), S.key_skills(pairs, skills))
+    parts = _history(spark, path)
+    companies, skills = parts["entreprises"], parts["competences"]
+    return S.Star(companies, skills, S.with_company_key(S.fact_rows(parts["states"]), companies), S.key_skills(parts["pairs"], skills))
 
 
 def compact(spark: SparkSession, path: str, out: str) -> None:
     """One batch in place of all: the same star schema with the same keys, in a new folder that later batches go on from."""
-    last = spark.read.parquet(f"{path}/states").agg(F.max("batch")).first()[0] or 0
-    parts = {
-        "states": S.merge_states(spark.read.parquet(f"{path}/states")),
-        "pairs": spark.read.parquet(f"{path}/pairs").select("id_offre", "nom").dropDuplicates(),
-        **{name: spark.read.parquet(f"{path}/{name}").select(key, "nom") for name, key in DIMENSIONS.items()},
-    }
+    parts = _history(spark, path)
+    last = spark.table(_bucketed(spark, path, "states")).agg(F.max("batch")).first()[0] or 0
     for name, table in parts.items():
-        table.write.parquet(f"{out}/{name}/batch={last}")
+        if name in DIMENSIONS:
+            table.write.parquet(f"{out}/{name}/batch={last}")
+        else:
+            _insert(table, out, name, last)

@@ -52,6 +52,36 @@ def test_upsert_sorts_no_texts(spark):
     assert "SortAggregate" not in plan(S_.upsert_states(W.gold(spark, SF)))
 
 
+def test_upsert_shuffles_each_column_once(spark):
+    text = plan(S_.upsert_states(W.gold(spark, SF)))
+    assert text.count("Exchange hashpartitioning(id_offre") == 2 and text.count("Scan parquet") == 2
+    assert text.count("WindowGroupLimit") == 4 and "EXECUTOR_BROADCAST" not in text
+
+
+def test_history_is_not_shuffled(spark, tmp_path):
+    """States of many batches merge bucket by bucket, in the session that wrote them and in one that only reads them."""
+    rows, path = W.gold(spark, SF), str(tmp_path / "out")
+    for part in (0, 1):
+        rows.filter(F.col("ord") % 2 == part).write.parquet(str(tmp_path / "in" / str(part)))
+        arriving = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        streaming.upsert(arriving, path, str(tmp_path / "state")).start().awaitTermination()
+    fresh = spark.newSession()
+    for name in ("states", "pairs"):
+        spark.sql(f"DROP TABLE {streaming._bucketed(spark, path, name)}")  # as in an application that has not seen the folder
+    for session in (fresh, spark):
+        parts = streaming._history(session, path)
+        for name in ("states", "pairs"):
+            text = plan(parts[name])
+            assert "Bucketed: true" in text and "Exchange" not in text.replace("BroadcastExchange", "")
+        star = streaming.read_upserted(session, path)
+        want = S_.fact_rows(S_.upsert_states(rows))
+        got = star.offres.join(star.entreprises, "id_entreprise", "left").select("id_offre", "titre_clean", "nom", "recherche_text")
+        known = F.when(F.col("entreprise") != V.NON_SPECIFIE, F.col("entreprise"))
+        assert got.exceptAll(want.select("id_offre", "titre_clean", known, "recherche_text")).count() == 0
+        assert got.count() == want.count()
+        assert star.offre_competence.count() == S_.offer_skills(rows).count()
+
+
 def test_description_ends_on_its_own_level(spark):
     nested = "<div class='job-description'><div>Intro</div><p>Python <DIV>et</div> SQL</p></div><div>other</div>"
     rows = [(nested,), ("<main><p>a</p><article>b<article>c</article>d</article>e</main>",), ("<article>out</article>",), (None,),
