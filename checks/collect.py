@@ -352,6 +352,36 @@ def stream_daily(spark, sf_dir):
     return _drained(streaming.daily_counts(events, time="ts", by="event_type"), spark, "daily")
 
 
+# Every eleventh event has no readable time; events come in four deliveries, not in the order of their time.
+_TIME = "CASE WHEN event_id % 11 = 0 THEN 'bientôt' ELSE CAST(ts AS STRING) END"
+
+
+@query("SELECT CASE WHEN event_id % 11 <> 0 THEN CAST(ts AS DATE) END AS jour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_daily_totals(spark, sf_dir):
+    """All events per day and type, late and undated ones too; the stream is stopped and started again between two deliveries."""
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", F.expr(_TIME).alias("time"))
+    path = _fresh(spark, "totals")
+    for deliveries in ((3, 1), (0, 2)):
+        for part in deliveries:
+            rows.filter(F.expr(f"pmod(xxhash64(event_id), 4) = {part}")).write.parquet(f"{path}/in/{part}")
+        arriving = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        totals = streaming.daily_totals(arriving, time="time", by="event_type")
+        streaming.to_latest(totals, f"{path}/out", f"{path}/state").start().awaitTermination()
+    return streaming.read_latest(spark, f"{path}/out", ["jour", "event_type"])
+
+
+@query(f"{L.WITH_A} SELECT {L.SILVER_OUT} FROM silver_a")
+def stream_silver_a(spark, sf_dir):
+    """A offers that arrive in any order: of every id the first in the order of the load stays, as in a batch."""
+    rows = offers_raw(spark, sf_dir).filter(F.col("source") == V.A)
+    rows = conform(rows, S.BRONZE, ("ord",))
+    path = _fresh(spark, "silver-a")
+    rows.repartition(8, F.xxhash64("ord")).write.parquet(f"{path}/in")
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{path}/in")
+    streaming.collect_first(arriving, f"{path}/out", f"{path}/state").start().awaitTermination()
+    return layers.silver(streaming.read_first(spark, f"{path}/out"), V.A, RUN_AT).drop("ord")
+
+
 @query(f"{L.WITH_STAR} SELECT {W.FACT_OUT} FROM offres")
 def stream_upsert(spark, sf_dir):
     """Gold files loaded batch by batch, in several micro-batches.

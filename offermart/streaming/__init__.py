@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from offermart.functions.values import to_timestamp
 from offermart.operators import star as S
 from offermart.operators.keys import dense_keys
+from offermart.operators.ranking import top_per_group
 from offermart.plans import layers
 from offermart.sources import path_exists
 
@@ -38,6 +39,28 @@ def daily_counts(offers: DataFrame, delay: str = "1 day", time: str = "date_scra
     return counted.select(F.to_date("window.start").alias("jour"), by, "n")
 
 
+def daily_totals(offers: DataFrame, time: str = "date_scraping", by: str = "source") -> DataFrame:
+    """Offers per day and source so far, for ``to_latest``: every row counts at once, a late one in its own day, one without a readable time under
+    a null day. The state is one number per day and source, so it needs no watermark and the counts add up to the input."""
+    return offers.groupBy(F.to_date(event_time(time)).alias("jour"), by).agg(F.count("*").alias("n"))
+
+
+def to_latest(totals: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Stores the groups that a batch has changed, with their new totals, below ``batch=<id>``. A replayed batch replaces its folder."""
+
+    def store(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch}")
+
+    writer = totals.writeStream.outputMode("update").foreachBatch(store)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The newest total of every group; nulls are a group."""
+    newest = top_per_group(spark.read.parquet(path), keys, [F.col("batch").desc()], 1)
+    return newest.drop("batch")
+
+
 def to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append everything that has arrived, then stop; a restart goes on where the checkpoint ends."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
@@ -80,6 +103,29 @@ def _insert(rows: DataFrame, path: str, name: str, batch: int) -> None:
     dealt.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
 
 
+def collect_first(stream: DataFrame, path: str, checkpoint: str, key: str = "id", order: str = "ord") -> DataStreamWriter:
+    """Keeps of every id the row with the smallest order, over all batches: the de-duplication of a batch load for a stream in any order.
+
+    Each batch stores its own first rows in buckets of the id; ``read_first`` cuts them to one. Rows without an id all stay.
+    """
+
+    def store(rows: DataFrame, batch: int) -> None:
+        known = top_per_group(rows.filter(F.col(key).isNotNull()), [key], [F.col(order).asc()], 1)
+        kept = known.unionByName(rows.filter(F.col(key).isNull()))
+        _insert(kept.select(F.col(key).alias("id_offre"), *[c for c in rows.columns if c != key]), path, "first", batch)
+
+    return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+
+
+def read_first(spark: SparkSession, path: str, key: str = "id", order: str = "ord") -> DataFrame:
+    """What ``collect_first`` has kept so far; buckets are cut where they lie."""
+    table = _bucketed(spark, path, "first")
+    spark.catalog.recoverPartitions(table)
+    rows = spark.table(table).drop("batch")
+    known = top_per_group(rows.filter(F.col("id_offre").isNotNull()), ["id_offre"], [F.col(order).asc()], 1)
+    return known.unionByName(rows.filter(F.col("id_offre").isNull())).withColumnRenamed("id_offre", key)
+
+
 def upsert(stream: DataFrame, path: str, checkpoint: str, order: str = "ord") -> DataStreamWriter:
     """Incremental warehouse load of a stream of Gold offers with their order.
 
