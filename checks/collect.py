@@ -20,9 +20,10 @@ from offermart import vocab as V
 from offermart.operators import als, assistant, dedup, pages, raw
 from offermart.operators.keys import dense_keys
 from offermart.operators.star import load_summary as summary
+from offermart.operators.star import table_counts
 from offermart.plans import daily, layers, report
 from offermart.session import shared_dir
-from offermart.sinks import to_messages, write_layer
+from offermart.sinks import current_star, load_star, publish_star, to_messages, write_layer
 from offermart.sources import conform, parse_offers, read_gold_for_day, stream_bronze
 
 
@@ -449,3 +450,38 @@ def daily_run(spark, sf_dir):
     rows = offers_raw(spark, sf_dir).orderBy("ord")
     delivered = {s: rows.filter(F.col("source") == s) for s in V.SOURCES}
     return summary(daily.run_day(spark, _fresh(spark, "run"), RUN_AT, delivered))
+
+
+@query(
+    f"{L.WITH_STAR} SELECT 'table' AS section, 'offres' AS cle, count(*) AS n FROM offres UNION ALL "
+    "SELECT 'table', 'entreprises', count(*) FROM entreprises UNION ALL SELECT 'table', 'competences', count(*) FROM competences "
+    "UNION ALL SELECT 'table', 'offre_competence', count(*) FROM offre_competence "
+    "UNION ALL SELECT 'source', source, count(*) FROM offres GROUP BY source"
+)
+def daily_resumed(spark, sf_dir):
+    """A day in three attempts: Bronze alone, then a start that ends when one source is refined, then the rest. Nothing is collected or refined twice."""
+    rows, root = offers_raw(spark, sf_dir).orderBy("ord"), _fresh(spark, "resumed")
+    delivered = {s: rows.filter(F.col("source") == s) for s in V.SOURCES}
+    daily.run_day(spark, root, RUN_AT, delivered, collect_only=True)
+    daily.refine_source(spark, root, V.A, RUN_AT)
+    return summary(daily.run_day(spark, root, RUN_AT, delivered))
+
+
+_COUNTS = (
+    "SELECT '{v}' AS version, 'offres' AS cle, count(DISTINCT id) AS n FROM {g} UNION ALL SELECT '{v}', 'entreprises', count(DISTINCT entreprise) FROM {g} "
+    "WHERE entreprise <> 'Non spécifié' UNION ALL SELECT '{v}', 'competences', count(DISTINCT nom) FROM (SELECT unnest(skills) AS nom FROM {g}) "
+    "UNION ALL SELECT '{v}', 'offre_competence', count(*) FROM (SELECT DISTINCT id, unnest(skills) FROM {g} WHERE id IS NOT NULL)"
+)
+_FIRST = "(SELECT * FROM gold WHERE source = 'adzuna')"
+
+
+@query(f"{L.WITH_STAR} {_COUNTS.format(v='après un arrêt', g=_FIRST)} UNION ALL {_COUNTS.format(v='après la reprise', g='gold')}")
+def star_versions(spark, sf_dir):
+    """What readers see while a second version is half written, and once it is published."""
+    rows, root = W.gold(spark, sf_dir), _fresh(spark, "versions")
+    publish_star(rows.filter(F.col("source") == V.A), root, "v1")
+    load_star(rows, f"{root}/versions/v2")  # a run that ends before its manifest
+    half = table_counts(current_star(spark, root)).select(F.lit("après un arrêt").alias("version"), "cle", "n")
+    half = spark.createDataFrame(half.collect(), half.schema)  # four numbers, read before the next version is out
+    publish_star(rows, root, "v2")
+    return half.unionByName(table_counts(current_star(spark, root)).select(F.lit("après la reprise").alias("version"), "cle", "n"))

@@ -11,8 +11,8 @@ from offermart import schemas as S
 from offermart import vocab as V
 from offermart.operators.star import Star, split_rejects
 from offermart.plans.layers import GOLD_COLUMNS, SILVER_COLUMNS, gold, union_sources
-from offermart.sinks import load_star, write_bronze, write_layer
-from offermart.sources import conform, path_exists, read_bronze, read_gold_for_day
+from offermart.sinks import publish_star, write_bronze, write_layer
+from offermart.sources import conform, finished, path_exists, read_bronze, read_gold_for_day
 
 
 def collect_day(offers: dict[str, DataFrame], root: str, day: dt.date) -> None:
@@ -40,20 +40,35 @@ def gold_of_day(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
     return union_sources(frames)
 
 
-def load_day(spark: SparkSession, root: str, day: dt.date) -> tuple[Star, DataFrame]:
-    """Full refresh of the star schema from the Gold of a day; returns it with the rejected rows."""
+def load_day(spark: SparkSession, root: str, day: dt.date, version: str | None = None) -> tuple[Star, DataFrame]:
+    """Full refresh of the star schema from the Gold of a day, published as ``version`` (the day, unless told otherwise) below ``star``; returns it
+    with the rejected rows."""
     valid, rejects = split_rejects(gold_of_day(spark, root, day))
-    return load_star(valid, f"{root}/star"), rejects
+    return publish_star(valid, f"{root}/star", version or day.strftime("%Y%m%d")), rejects
 
 
 def run_day(spark: SparkSession, root: str, run_at: dt.datetime, offers: dict[str, DataFrame] | None = None,
             collect_only: bool = False, refine_only: bool = False) -> Star | None:
-    """The whole day. ``collect_only`` stops after Bronze, ``refine_only`` starts from the Bronze already there."""
+    """The whole day. ``collect_only`` stops after Bronze, ``refine_only`` starts from the Bronze already there.
+
+    A stage that has ended leaves a mark below ``_done/run=``; the same run started again goes on after the last mark. Silver, Gold and the star schema
+    are replaced by a stage that is repeated; Bronze is appended to, source by source.
+    """
+    run = run_at.strftime("%Y%m%d_%H%M%S")
+    marks = f"{root}/_done/run={run}"
+    done = set(finished(spark, marks))
+
+    def stage(name: str, work) -> None:
+        if name not in done:
+            work()
+            spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{marks}/{name}")
+
     if not refine_only:
-        collect_day(offers or {}, root, run_at.date())
+        for source, rows in (offers or {}).items():
+            stage(f"collect-{source}", lambda source=source, rows=rows: collect_day({source: rows}, root, run_at.date()))
     if collect_only:
         return None
     for source in V.SOURCES:
         if path_exists(spark, f"{root}/bronze/source={source}"):
-            refine_source(spark, root, source, run_at)
-    return load_day(spark, root, run_at.date())[0]
+            stage(f"refine-{source}", lambda source=source: refine_source(spark, root, source, run_at))
+    return load_day(spark, root, run_at.date(), run)[0]

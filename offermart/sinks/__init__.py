@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offermart.functions.values import at
-from offermart.operators.star import Star, bridge, company_dimension, fact_offers, skill_dimension
-from offermart.sources import topic_of
+from offermart.operators.star import Star, bridge, company_dimension, fact_offers, read_star, skill_dimension
+from offermart.sources import finished, topic_of
 
 
 def write_bronze(df: DataFrame, path: str, day: dt.date) -> None:
@@ -46,6 +46,39 @@ def load_star(gold: DataFrame, path: str, order: str = "ord") -> Star:
     return Star(companies, skills, offers, _replace(bridge(gold, skills), f"{path}/offre_competence"))
 
 
+def publish_star(gold: DataFrame, root: str, version: str, order: str = "ord") -> Star:
+    """A full refresh that readers see all at once: the tables go to a folder of the version, then a manifest names it.
+
+    Until the manifest is there readers keep the version before, whatever tables a failed run has left; sent again, they are written over. A version that
+    was published stays as it is. One writer at a time; old versions stay for readers that still follow them.
+    """
+    spark = gold.sparkSession
+    published = {_version(spark, root, n): n for n in finished(spark, f"{root}/manifest")}
+    folder = f"{root}/versions/{version}"
+    if version not in published:
+        load_star(gold, folder, order)
+        number = 1 + max((int(n.removeprefix("n=")) for n in published.values()), default=0)
+        spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/n={number:09d}")
+    return read_star(spark, folder)
+
+
+def _version(spark: SparkSession, root: str, manifest: str) -> str:
+    return spark.read.schema("version string").parquet(f"{root}/manifest/{manifest}").first()[0]
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version the newest manifest names; None before the first."""
+    manifests = finished(spark, f"{root}/manifest")
+    return _version(spark, root, manifests[-1]) if manifests else None
+
+
+def current_star(spark: SparkSession, root: str) -> Star:
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no version published below {root}")
+    return read_star(spark, f"{root}/versions/{version}")
+
+
 def write_star(star: Star, path: str) -> None:
     """The tables of a star schema as they are, for instance an incremental one."""
     for name, table in star.tables().items():

@@ -67,6 +67,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def finished(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path`` whose writer has ended; sorted, empty if there is no such path."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(n for n in names if fs.exists(hadoop.Path(f"{path}/{n}/_SUCCESS")))
+
+
 def read_gold_for_day(spark: SparkSession, path: str, source: str, day: str) -> DataFrame:
     """Newest Gold run of one source for a day ``YYYYMMDD``, with its row order ``ord``; empty when there is none.
 

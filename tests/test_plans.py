@@ -130,3 +130,53 @@ def test_daily_run_tolerates_a_missing_source_and_reads_the_newest_gold(spark, t
     assert read_gold_for_day(spark, f"{root}/gold", V.F, "20240201").count() == 0
     assert read_gold_for_day(spark, f"{root}/gold", V.A, "20240131").count() == 0
     assert read_gold_for_day(spark, f"{root}/none", V.A, "20240201").count() == 0
+
+
+def test_a_killed_load_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    from offermart import sinks
+
+    rows, root = W.gold(spark, SF), str(tmp_path)
+    assert sinks.current_version(spark, root) is None
+    sinks.publish_star(rows.filter(F.col("source") == V.A), root, "one")
+    before = sinks.current_star(spark, root).offres.count()
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:  # three of the four tables are written
+        m.setattr(sinks, "bridge", killed)
+        try:
+            sinks.publish_star(rows, root, "two")
+        except RuntimeError:
+            pass
+    assert sinks.current_version(spark, root) == "one" and sinks.current_star(spark, root).offres.count() == before
+    sinks.publish_star(rows, root, "two")
+    sinks.publish_star(rows.limit(0), root, "one")  # published before: stays
+    star = sinks.current_star(spark, root)
+    assert sinks.current_version(spark, root) == "two" and star.offres.count() == rows.select("id").distinct().count()
+    assert star.offres.join(star.offre_competence, "id_offre", "left_anti").count() == star.offres.count() - star.offre_competence.select("id_offre").distinct().count()
+
+
+def test_a_day_goes_on_after_its_last_finished_stage(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    rows = offers_raw(spark, SF)
+    delivered = {s: rows.filter(F.col("source") == s) for s in V.SOURCES}
+    refined, real = [], daily.refine_source
+
+    def refine(spark, root, source, run_at):
+        refined.append(source)
+        if refined == [V.A, V.F]:
+            raise RuntimeError("killed")
+        real(spark, root, source, run_at)
+
+    monkeypatch.setattr(daily, "refine_source", refine)
+    try:
+        daily.run_day(spark, root, RUN_AT, delivered)
+    except RuntimeError:
+        pass
+    star = daily.run_day(spark, root, RUN_AT, delivered)
+    assert refined == [V.A, V.F, V.F, V.W]
+    assert spark.read.json(f"{root}/bronze").count() == rows.count()
+    assert star.offres.count() == W.warehouse(spark, SF).offres.count()
+    again = daily.run_day(spark, root, RUN_AT, delivered)
+    assert len(refined) == 4 and again.offres.count() == star.offres.count()
