@@ -262,6 +262,33 @@ def test_licenses_awkward(docs):
     assert [(r["labels"], r["score"], r["first_word"]) for r in got[3]] == [("", 0.0, None)]
 
 
+NOTICE_LABELS = [
+    ("Licensed under the MIT License", "mit"),
+    ("Released under the terms of the MIT License", "mit"),
+    ("Licensed under the Apache License v2.0", "apache-2.0"),
+    ("Licensed under the Apache License, Version 2.0 (the License)", "apache-2.0"),
+    ("GNU General Public License, version 3", "gpl,gpl-3.0"),
+    ("GNU General Public License (GPL) version 2 or later", "gpl,gpl-2.0"),
+    ("CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa-4.0"),
+    ("shared as CC BY-SA 4.0, then CC BY-NC 4.0", "cc-by,cc-by-nc-4.0,cc-by-sa-4.0"),
+    ("cc by cc by cc by cc by cc by cc by licensed under cc by nc 4 0", "cc-by,cc-by-nc-4.0"),
+    ("CC BY-NC 3.0", "cc-by"),
+    ("license the MIT gave", ""),
+    ("public license version", ""),
+    ("4 0 nc by cc", ""),
+    ("Permission is hereby granted, free of any charge, to every person obtaining a copy of this software and associated documentation files", "mit-terms"),
+    ("Apache License " + "x " * 10 + "Version 2.0", ""),
+]
+
+
+@pytest.mark.parametrize("times", [1, 400])
+def test_license_labels_of_usual_notices(spark, times):
+    """The right labels and only those, alone and in a long text that repeats the notice."""
+    rows = [(i, (" filler words stand between these notices in some text ".join([t] * times))) for i, (t, _) in enumerate(NOTICE_LABELS)]
+    got = {r["id"]: r["labels"] for r in diagonals.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == [labels for _, labels in NOTICE_LABELS]
+
+
 def test_licenses_none(none):
     assert diagonals.licenses(none).count() == 0
 
