@@ -27,6 +27,7 @@ from offermart.llm.common import stored, table
 from offermart.llm.registry import query
 
 MIN_PAGES, MIN_SHARE = 3, 0.6  # different pages that show a template node's text, and their share of all that have the node
+MOST = 0.6  # share of the varying text that the part taken for the article holds at least
 DEPTH = 60  # levels of the tree that are aligned; deeper blocks belong to the node above them
 SHINGLE, BANDS, BAND = 5, 10, 4  # words of a shingle; smallest hashes that name a family, and how many of them a name has
 UNIT = 1 << 30  # weight of a family; its pages share it
@@ -290,26 +291,66 @@ def is_marked(page: Page) -> bool:
 def main_text(
     page: Page, template: set[int], where: list[int], aligned: tuple[int, ...] | None, lines: set[tuple[int, int]] = frozenset()
 ) -> str:
-    """The blocks of the article, or of all content slots if the page marks no article, one per line.
+    """The blocks of the article, one per line: the marked one, or else the part of the page that holds most of what varies.
 
-    ``template`` are positions of the reference, ``lines`` are positions with the hash of a block that is template there.
+    ``template`` are positions of the reference, ``lines`` are positions with the hash of a block that is template there. In a marked
+    article a repeated line goes only where it stands at an end of the article or is mostly a link; one that other text follows, such as the heading of
+    a section, stays.
     """
     marked = is_marked(page)
-    out = []
-    for at, text, linked in page.blocks:
+    kept = []  # number of the block, and whether most pages repeat it here
+    for number, (at, text, linked) in enumerate(page.blocks):
         node = page.nodes[at]
         if node.beside or (marked and not node.slot):
             continue
         if node.slot and _in_header(page, at) and node.tag not in HEADINGS:
             continue
         position = -1 if aligned is None else aligned[where[at]]
-        # In a marked article only the repeated text itself goes, not what other pages have at its place.
-        if ((position, _hash(text)) in lines) if marked else (position in template):
-            continue
-        if not marked and position < 0 and linked > len(text) / 2:
-            continue
-        out.append(text)
-    return "\n".join(out)
+        link = linked > len(text) / 2
+        if marked:
+            repeated = (position, _hash(text)) in lines
+            if not (repeated and link):
+                kept.append((number, repeated))
+        elif position not in template and not (position < 0 and link):
+            kept.append((number, False))
+    if marked:
+        while kept and kept[-1][1]:
+            kept.pop()
+        first = 0
+        while first < len(kept) and kept[first][1] and page.nodes[page.blocks[kept[first][0]][0]].tag not in HEADINGS:
+            first += 1
+        chosen = [number for number, _ in kept[first:]]
+    else:
+        chosen = _article_blocks(page, [number for number, _ in kept])
+    return "\n".join(page.blocks[number][1] for number in chosen)
+
+
+def _article_blocks(page: Page, kept: list[int]) -> list[int]:
+    """Of the blocks that vary, those below the innermost node that holds ``MOST`` of their letters outside links.
+
+    The search stops where a heading would be left outside: it belongs to the text beside it.
+    """
+    if not kept:
+        return kept
+    mass, headed = [0] * len(page.nodes), [0] * len(page.nodes)
+    for number in kept:
+        at, text, linked = page.blocks[number]
+        size = max(0, len(text) - linked)
+        heading = page.nodes[at].tag in HEADINGS
+        while at >= 0:
+            mass[at] += size
+            headed[at] += heading
+            at = page.nodes[at].parent
+    at = 0
+    while True:
+        inner = max(page.nodes[at].children, key=mass.__getitem__, default=None)
+        if inner is None or page.nodes[inner].tag in REPEATED or mass[inner] < MOST * mass[at] or headed[inner] < headed[at]:
+            break
+        at = inner
+    below = [False] * len(page.nodes)
+    for n, node in enumerate(page.nodes):  # a node comes after the one above it
+        below[n] = n == at or (n > 0 and below[node.parent])
+    return [number for number in kept if below[page.blocks[number][0]]]
 
 
 def _in_header(page: Page, at: int) -> bool:
@@ -414,13 +455,11 @@ def wrappers(pages: DataFrame) -> DataFrame:
     place = ["host", "reference", "position"]
     same = texts.groupBy(*place, "text").agg(F.sum("weight").alias("n"), F.sum("whole").alias("whole"))
     least = int(MIN_PAGES * UNIT * 0.999)  # shares of a family are cut to whole numbers
-    slots = same.groupBy(*place).agg(
-        F.sum("whole").alias("all"), F.max("whole").alias("most"),
-        F.collect_list(F.when(F.col("n") >= least, F.struct("n", "text"))).alias("often"),
-    )
+    totals = same.groupBy(*place).agg(F.sum("whole").alias("all"), F.max("whole").alias("most"))
     enough = lambda n: (n >= least) & (n >= MIN_SHARE * F.col("all"))
-    often = F.transform(F.filter("often", lambda x: enough(x["n"])), lambda x: x["text"])
-    slots = slots.select(*place, enough(F.col("most")).alias("fixed"), often.alias("often")).where(F.size("often") > 0)
+    # Only what most pages show at a place is listed: as many texts as a page has lines there.
+    slots = same.where(F.col("n") >= least).join(totals, place).where(enough(F.col("n")))
+    slots = slots.groupBy(*place).agg(F.max(enough(F.col("most"))).alias("fixed"), F.collect_list("text").alias("often"))
     line = F.transform("often", lambda x: F.struct(F.col("position").alias("position"), x.alias("text")))
     constant = slots.groupBy("host", "reference").agg(
         F.array_sort(F.collect_list(F.when(F.col("fixed"), F.col("position")))).alias("template"),

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -324,3 +325,28 @@ def test_pipeline_awkward(docs, none, spark, tmp_path):
         assert (rows.count() > 0) == (start is docs)
     assert packing.pack(none).columns == ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert postings.SMALL_ROWS > 0
+
+
+def test_headings_of_sections_stay_and_notices_go(spark):
+    """Every recipe has the same headings; a notice stands at the end of all articles, a linked one in their midst."""
+    words = lambda i, part: " ".join(f"{part}{i}x{k}" for k in range(30))
+    page = lambda i: (
+        f"<html><body><article><p>Sponsored recipe</p><h1>Dish {i}</h1><h2>Ingredients</h2><ul><li>{words(i, 'a')}</li></ul>"
+        f"<p><a href='/s'>Subscribe to our letter</a></p><h2>Method</h2><p>{words(i, 'b')}</p><h2>More</h2><p>All our recipes are tested.</p></article></body></html>"
+    )
+    rows = [(i, f"https://cook.example/{i}", page(i)) for i in range(8)]
+    got = {r["id"]: r["text"] for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Dish {i}\nIngredients\n{words(i, 'a')}\nMethod\n{words(i, 'b')}" for i in range(8)}
+
+
+def test_pages_without_any_mark(spark):
+    """With marks made plain boxes and names removed, aligned slots alone find nearly the same blocks."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    boxes = F.regexp_replace("html", r"(?i)<(/?)(article|main|header|footer|nav|aside|form|section|menu)\b[^>]*>", "<$1div>")
+    bare = F.regexp_replace(boxes, r"""(?i)\s(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "")
+    want, got = ({r["id"]: r["text"] for r in wrapper.extract(p).collect()} for p in (pages, pages.withColumn("html", bare)))
+    same = extra = lost = 0
+    for i, text in want.items():
+        a, b = (Counter(t.split("\n")) if t else Counter() for t in (text, got[i]))
+        same, extra, lost = same + (a & b).total(), extra + (b - a).total(), lost + (a - b).total()
+    assert same / (same + extra) >= 0.95 and same / (same + lost) >= 0.98
