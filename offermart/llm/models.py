@@ -16,16 +16,18 @@ def fold(id_col: Column, parts: int) -> Column:
 def labelled(
     docs: DataFrame, labels: DataFrame, label: str, held_out: Column, id_col: str, text_col: str, limit: int = MAX_LABELLED
 ) -> DataFrame:
-    """``(id, text, y)`` of at most ``limit`` labelled rows outside the held-out fold.
+    """``(id, text, y)`` of at most ``limit`` labelled ids outside the held-out fold, one text each.
 
-    Ids with more than one label count with the largest; null ids and labels are left out. The sample of labels has at
-    most ``limit`` narrow rows, so it is broadcast and the texts do not move.
+    Ids with more than one label count with the largest; null ids and labels are left out. Ids are drawn by their hash from those that ``docs`` has. Of
+    several texts of one id the one with the smallest hash stands for it, so an id that many rows share is one row here and ``limit`` holds. The sample of
+    labels is narrow, so it is broadcast; a task keeps one text per id before anything moves.
     """
     known = labels.where(~held_out & F.col(label).isNotNull() & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("double").alias("y"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(limit)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(known), "id").select("id", "text", "y")
+    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(limit)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "id")
+    order = F.struct(F.xxhash64("text"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    return texts.groupBy("id").agg(F.min_by(F.struct("text"), order).alias("t"), F.max("y").alias("y")).select("id", "t.text", "y")
 
 
 def sigmoid(z):

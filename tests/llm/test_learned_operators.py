@@ -350,3 +350,14 @@ def test_pages_without_any_mark(spark):
         a, b = (Counter(t.split("\n")) if t else Counter() for t in (text, got[i]))
         same, extra, lost = same + (a & b).total(), extra + (b - a).total(), lost + (a - b).total()
     assert same / (same + extra) >= 0.95 and same / (same + lost) >= 0.98
+
+
+def test_labelled_sample_is_bounded(spark):
+    """One id with most rows is one row of the sample; ids that no document has take no place in it."""
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(300)] + [(i, f"own {i}") for i in range(100, 140)] + [(None, "x"), (8, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in [7, 8, *range(100, 2000)]] + [(7, 1), (None, 1), (101, None)], "doc_id long, quality int")
+    take = lambda n: models.labelled(docs, labels, "quality", F.lit(False), "doc_id", "text", n).collect()
+    rows = take(1000)
+    assert sorted(r["id"] for r in rows) == [7, 8, *range(100, 140)] and len(take(10)) == 10
+    assert {r["id"]: r["y"] for r in rows}[7] == 1 and {r["id"]: r["text"] for r in rows}[8] is None
+    assert sorted(map(tuple, take(10))) == sorted(map(tuple, take(10)))
