@@ -15,7 +15,7 @@ from offermart.functions.values import cosine
 from offermart.operators import market, match
 from offermart.plans.upload import upload
 from offermart.session import shared_dir
-from offermart.sinks import recommendation_rows, replace_skills
+from offermart.sinks import recommendation_rows, replace_skills, replace_stored_skills, store_skills
 
 
 def _candidates(spark: SparkSession, sf_dir: str, defaults: bool = True) -> DataFrame:
@@ -167,6 +167,20 @@ def replaced_skills(spark, sf_dir):
     return replace_skills(candidate_skills(spark, sf_dir).drop("annee_experience"), fresh)
 
 
+@query(
+    f"WITH {CANDIDATES_CTE}, fresh AS (SELECT id_utilisateur, 'redis' AS nom_competence FROM candidates WHERE id_utilisateur % 30 = 0) "
+    "SELECT id_utilisateur, nom_competence FROM candidate_skills WHERE id_utilisateur NOT IN (SELECT id_utilisateur FROM fresh) "
+    "UNION ALL SELECT id_utilisateur, nom_competence FROM fresh"
+)
+def stored_skills(spark, sf_dir):
+    """The stored skills after some candidates have uploaded a CV, of which only their buckets were replaced."""
+    path = f"{shared_dir(spark)}/offermart-skills-{uuid.uuid4().hex[:12]}"
+    store_skills(candidate_skills(spark, sf_dir).drop("annee_experience"), path)
+    users = candidates(spark, sf_dir).filter("id_utilisateur % 30 = 0")
+    replace_stored_skills(path, users.select("id_utilisateur", F.lit("redis").alias("nom_competence")))
+    return spark.read.parquet(path).select("id_utilisateur", "nom_competence")
+
+
 @query(
     f"{WITH_MATCH},\n{FINAL}, best AS (SELECT * FROM scored {BEST.format(k=3)}) SELECT id_utilisateur, id_offre, source, score_match AS "
     "score_recommandation, TIMESTAMP '2024-02-01 06:00:00' AS date_recommandation, false AS est_consulte, false AS est_sauvegarde "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from checks import layers
 from checks import sql_layers as L
 from checks.views import CANDIDATES_CTE, candidate_skills, candidates, offers_raw, query, stored, table
-from offermart.operators import dedup, market
+from offermart.operators import dedup, market, postings
 from offermart.operators import star as S
+from offermart.session import shared_dir
 from offermart.sinks import load_star
 
 
@@ -160,6 +162,18 @@ def token_search(spark, sf_dir):
     return market.token_search(warehouse(spark, sf_dir).offres, "des Engineer avec Spark et une mission").select("id_offre")
 
 
+@query(
+    f"{L.WITH_STAR} SELECT id_offre FROM offres WHERE list_has_all(string_split_regex(recherche_text, '[^\\p{{L}}\\p{{N}}_]+'), "
+    "['engineer', 'spark', 'mission'])"
+)
+def token_postings(spark, sf_dir):
+    """The same search over stored postings, which came in two deliveries, the second of them sent twice."""
+    offers, path = warehouse(spark, sf_dir).offres, f"{shared_dir(spark)}/offermart-postings-{uuid.uuid4().hex[:12]}"
+    for batch, mine in ((0, F.col("source") == "adzuna"), (1, F.col("source") != "adzuna"), (1, F.col("source") != "adzuna")):
+        postings.append_postings(offers.filter(mine), path, batch)
+    return postings.search_postings(spark, path, "des Engineer avec Spark et une mission")
+
+
 @query(
     "SELECT doc_id FROM documents WHERE list_has_all(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+'), ['license', 'mit'])"
 )

@@ -87,12 +87,22 @@ def search(star: Star, q: str, literal: bool = False, n: int = 50) -> DataFrame:
     return ordered.select(*CARD_COLUMNS, "type_contrat", "competences", "score_match")
 
 
-def token_search(df: DataFrame, query: str, column: str = "recherche_text") -> DataFrame:
-    """Rows whose text holds every word of ``query``; French stop words are ignored, nothing is stemmed."""
+def search_words(query: str) -> list[str]:
+    """Distinct words of a query in lower case, without French stop words; nothing is stemmed."""
     words = re.findall(r"\w+", unicodedata.normalize("NFC", query).lower())
     stop = set(StopWordsRemover.loadDefaultStopWords("french"))
-    wanted = [w for w in dict.fromkeys(words) if w not in stop]
-    tokens = F.split(F.lower(column), r"[^\p{L}\p{N}_]+")
+    return [w for w in dict.fromkeys(words) if w not in stop]
+
+
+def word_array(text: Column) -> Column:
+    """Words of a search text in lower case; an empty string may stand at either end."""
+    return F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
+
+
+def token_search(df: DataFrame, query: str, column: str = "recherche_text") -> DataFrame:
+    """Rows whose text holds every word of ``query``, found by reading every text; for stored postings see ``operators.postings``."""
+    wanted = search_words(query)
+    tokens = word_array(F.col(column))
     if not wanted:
         return df.filter(F.lit(False))
     return df.filter(F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in wanted]))) == len(wanted))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offermart.functions.values import at
 from offermart.operators.star import Star, bridge, company_dimension, fact_offers, read_star, skill_dimension
+from offermart.session import cut_lineage
 from offermart.sources import finished, topic_of
 
 
@@ -112,6 +113,32 @@ def replace_skills(current: DataFrame, fresh: DataFrame) -> DataFrame:
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
+def _skill_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("id_utilisateur"), F.lit(buckets)).cast("int")
+
+
+def store_skills(skills: DataFrame, path: str, buckets: int = 64) -> None:
+    """Skill rows of candidates in folders by the hash of the candidate, the form ``replace_stored_skills`` updates; all of it is replaced."""
+    rows = skills.withColumn("bucket", _skill_bucket(buckets)).repartitionByRange("bucket", "id_utilisateur")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(path)
+
+
+def replace_stored_skills(path: str, fresh: DataFrame, buckets: int = 64) -> None:
+    """``replace_skills`` on a stored table: only the buckets of the candidates in ``fresh`` are read and written, the other files are not touched.
+
+    ``fresh`` has the columns of the table or some of them; ``buckets`` is that of ``store_skills``. The new rows are stored before the folders are
+    replaced, so a lost executor costs no rows.
+    """
+    spark = fresh.sparkSession
+    touched = [r[0] for r in fresh.select(_skill_bucket(buckets)).distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    table = spark.read.parquet(path)
+    current = table.where(F.col("bucket").isin(touched)).drop("bucket")
+    after = cut_lineage(replace_skills(current, fresh).select(current.columns).withColumn("bucket", _skill_bucket(buckets)))
+    after.repartitionByRange("bucket", "id_utilisateur").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
 def recommendation_rows(recommendations: DataFrame, run_at: dt.datetime) -> DataFrame:
     return recommendations.select(
         "id_utilisateur",

@@ -180,3 +180,41 @@ def test_a_day_goes_on_after_its_last_finished_stage(spark, tmp_path, monkeypatc
     assert star.offres.count() == W.warehouse(spark, SF).offres.count()
     again = daily.run_day(spark, root, RUN_AT, delivered)
     assert len(refined) == 4 and again.offres.count() == star.offres.count()
+
+
+def test_postings_answer_like_a_scan_and_read_their_parts_only(spark, tmp_path):
+    from offermart.operators import postings
+
+    path, offers = str(tmp_path / "postings"), W.warehouse(spark, SF).offres
+    postings.append_postings(offers, path, 0)
+    extra = spark.createDataFrame([("x", None), ("y", ""), ("z", "Été  été c++ " + "mission " * 5000)], "id_offre string, recherche_text string")
+    postings.append_postings(extra, path, 1)
+    postings.append_postings(extra, path, 1)  # sent again
+    everything = offers.select("id_offre", "recherche_text").unionByName(extra)
+    for query in ("des Engineer avec Spark et une mission", "mission", "été", "été mission", "engineer introuvable", "c++", "le la", ""):
+        got = [r[0] for r in postings.search_postings(spark, path, query).collect()]
+        assert sorted(got) == sorted(r["id_offre"] for r in market.token_search(everything, query).collect()), query
+    text = plan(postings.read_postings(spark, path, ["spark"]))
+    assert "PartitionFilters: [" in text and "part#" in text.split("PartitionFilters: [")[1] and "In(mot" in text.replace("EqualTo(mot", "In(mot")
+    assert "recherche_text" not in text
+
+
+def test_replaced_skills_touch_only_their_buckets(spark, tmp_path):
+    import os
+
+    from offermart.sinks import replace_skills, replace_stored_skills, store_skills
+
+    path = str(tmp_path / "skills")
+    rows = spark.range(500).selectExpr("id % 100 AS id_utilisateur", "concat('s', id) AS nom_competence")
+    store_skills(rows, path, 16)
+    times = lambda: {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith("parquet")}
+    before = times()
+    fresh = spark.createDataFrame([(3, "redis"), (3, "sql"), (500, "new")], "id_utilisateur long, nom_competence string")
+    replace_stored_skills(path, fresh, 16)
+    replace_stored_skills(path, fresh.limit(0), 16)
+    after = times()
+    stayed = {f for f in before if after.get(f) == before[f]}
+    changed = {os.path.dirname(f) for f in [*before, *after] if f not in stayed}
+    assert len(changed) <= 2 and len(stayed) >= len(before) - len(changed)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("id_utilisateur", "nom_competence").collect())
+    assert got == sorted(tuple(r) for r in replace_skills(rows, fresh).collect())
