@@ -130,21 +130,61 @@ def messages_round_trip(spark, sf_dir):
     return parse_offers(to_messages(rows)).withColumn("competences", F.array_join("competences", "|"))
 
 
-@query(
-    f"WITH RECURSIVE {L.OFFERS_CTE},\nrecords AS ({F_RECORD}),\n{L.GREEDY.format(rows='records')}, u AS (SELECT * FROM records WHERE ord IN "
-    "(SELECT ord FROM greedy)), places AS (SELECT CASE WHEN contains(lieu, ' - ') THEN split_part(lieu, ' - ', -1) ELSE lieu END AS cle, "
-    "count(*) AS n FROM u GROUP BY 1 ORDER BY n DESC, cle LIMIT 5), words AS (SELECT unnest(skills) AS cle FROM u), top_words AS "
-    "(SELECT cle, count(*) AS n FROM words GROUP BY cle ORDER BY n DESC, cle LIMIT 10) "
-    "SELECT 'total' AS section, 'offres uniques' AS cle, count(*) AS n FROM u UNION ALL SELECT 'salaire', 'offres avec salaire', "
-    "count(*) FILTER (salaire_min <> 0) FROM u UNION ALL SELECT 'doublons', 'supprimés', (SELECT count(*) FROM records) - count(*) FROM u "
-    "UNION ALL SELECT 'mot-clé', query_recherche, count(*) FROM u GROUP BY 2 UNION ALL SELECT 'compétence', cle, n FROM top_words "
-    "UNION ALL SELECT 'contrat', type_contrat, count(*) FROM u GROUP BY 2 UNION ALL SELECT 'lieu', cle, n FROM places"
+A_RECORD = (
+    f"SELECT 'adzuna_' || id AS id, titre, coalesce(entreprise, 'Non spécifié') AS entreprise, lieu, "
+    f"{L.substring_list("titre || ' ' || description", V.SKILLS_COLLECTOR_A)} AS skills, nullif(salaire_min, 0) AS salaire_min, "
+    f"{CONTRACT_FROM_TEXT} AS type_contrat, query_recherche, ord FROM offers_raw"
 )
+
+
+def _report_sql(records: str, place: str | None) -> str:
+    """The report of one source; ``place`` is what its places are counted by, if they are."""
+    places = (
+        f", places AS (SELECT {place} AS cle, count(*) AS n FROM u GROUP BY 1 ORDER BY n DESC, cle LIMIT 5)" if place else ""
+    )
+    return (
+        f"WITH RECURSIVE {L.OFFERS_CTE},\nrecords AS ({records}),\n{L.GREEDY.format(rows='records')}, u AS (SELECT * FROM records WHERE ord IN "
+        f"(SELECT ord FROM greedy)){places}, words AS (SELECT unnest(skills) AS cle FROM u), top_words AS "
+        "(SELECT cle, count(*) AS n FROM words GROUP BY cle ORDER BY n DESC, cle LIMIT 10) "
+        "SELECT 'total' AS section, 'offres uniques' AS cle, count(*) AS n FROM u UNION ALL SELECT 'salaire', 'offres avec salaire', "
+        "count(*) FILTER (salaire_min <> 0) FROM u UNION ALL SELECT 'doublons', 'supprimés', (SELECT count(*) FROM records) - count(*) FROM u "
+        "UNION ALL SELECT 'mot-clé', query_recherche, count(*) FROM u GROUP BY 2 UNION ALL SELECT 'compétence', cle, n FROM top_words "
+        "UNION ALL SELECT 'contrat', type_contrat, count(*) FROM u GROUP BY 2"
+    ) + (" UNION ALL SELECT 'lieu', cle, n FROM places" if place else "")
+
+
+@query(_report_sql(F_RECORD, "CASE WHEN contains(lieu, ' - ') THEN split_part(lieu, ' - ', -1) ELSE lieu END"))
 def collector_report(spark, sf_dir):
     rows = raw.flatten_f(_payload_f(offers_raw(spark, sf_dir)), RUN_AT, keep=("ord",))
     return report.collector_report(rows, dedup.greedy_unique(rows), V.F)
 
 
+@query(_report_sql(A_RECORD, None))
+def collector_report_a(spark, sf_dir):
+    """The report of A, which names no places."""
+    payloads = _through_json(_payload_a(offers_raw(spark, sf_dir)), S.RAW_A, ["query_recherche", "ord"])
+    rows = raw.flatten_a(payloads, RUN_AT, keep=("ord",))
+    return report.collector_report(rows, dedup.greedy_unique(rows), V.A)
+
+
+@query(
+    _report_sql(
+        "SELECT 'jungle_' || CASE WHEN ord % 5 = 0 THEN id || '_x' ELSE 'co-' || (ord % 7) || '__' || id END AS id, titre, coalesce(entreprise, 'cover') AS entreprise, "
+        "CASE WHEN (ord % 2 = 0 AND lieu <> 'France') OR (ord % 2 = 1 AND substr(lieu, 1, 1) <> '7') THEN lieu WHEN type_contrat <> '' THEN type_contrat "
+        f"ELSE 'France' END AS lieu, {L.skill_list('titre', V.SKILLS_COLLECTOR)} AS skills, NULL::INT AS salaire_min, CASE WHEN contains(type_contrat, 'CDI') "
+        "OR contains(description, 'CDI') OR (ord % 3 < 2 AND contains(titre, 'CDI')) THEN 'CDI' WHEN contains(description, 'CDD') THEN 'CDD' "
+        "ELSE 'Non spécifié' END AS type_contrat, query_recherche, ord FROM offers_raw",
+        "lieu",
+    )
+)
+def collector_report_w(spark, sf_dir):
+    """The report of W over its cards, as they are before the detail pages are read."""
+    found = pages.cards(_offer_pages(spark, sf_dir), F.col("query_recherche")).withColumnRenamed("page_id", "ord")
+    found = found.withColumns({"description": F.lit(None).cast("string"), "salaire_min": F.lit(None).cast("int"), "salaire_max": F.lit(None).cast("int")})
+    rows = raw.build_w(found, RUN_AT, keep=("ord",))
+    return report.collector_report(rows, dedup.greedy_unique(rows), V.W)
+
+
 # Pages ----------------------------------------------------------------------------------------------------------
 
 # A card and its detail page for every offer; links, images, places and pay vary with the offer.
@@ -166,8 +206,22 @@ def _offer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("ord").alias("page_id"), "url", F.expr(HTML).alias("html"), "query_recherche")
 
 
+# Text of the main part, and the amounts that the first of the patterns to match finds in it; numbers under 500 are thousands.
+_MAIN = rf"trim(regexp_replace('x ' || description || ' ' || {_PAY}, '\s+', ' ', 'g'))"
+
+
+def _page_amount(group: int) -> str:
+    number = lambda p: f"TRY_CAST(regexp_replace(regexp_extract(m, {L.q(p)}, {group}), '\\s', '', 'g') AS INT)"
+    cases = ""
+    for pattern, has_upper in V.SALARY_PAGE_W:
+        n = number(pattern) if group == 1 or has_upper else "NULL"
+        few = f"{n} < 500" if group == 1 else f"{n} <> 0 AND {n} < 500"
+        cases += f" WHEN regexp_matches(m, {L.q(pattern)}) THEN CASE WHEN {few} THEN {n} * 1000 ELSE {n} END"
+    return f"CASE{cases} END"
+
+
 @query(
-    f"{L.RAW}, d AS (SELECT *, CASE WHEN ord % 3 < 2 AND {_BODY} <> '' THEN {_BODY} ELSE substr(trim(regexp_replace('x ' || description || ' ' "
+    f"{L.RAW}, d AS (SELECT *, {_MAIN} AS m, CASE WHEN ord % 3 < 2 AND {_BODY} <> '' THEN {_BODY} ELSE substr(trim(regexp_replace('x ' || description || ' ' "
     rf"|| {_PAY}, '\s+', ' ', 'g')), 1, 3000) END AS body FROM offers_raw) SELECT ord AS page_id, 'jungle_' || CASE WHEN ord % 5 = 0 "
     "THEN id || '_x' ELSE 'co-' || (ord % 7) || '__' || id END AS id, titre, coalesce(entreprise, 'cover') AS entreprise, "
     "CASE WHEN (ord % 2 = 0 AND lieu <> 'France') OR (ord % 2 = 1 AND substr(lieu, 1, 1) <> '7') THEN lieu WHEN type_contrat <> '' THEN type_contrat ELSE 'France' END AS lieu, "
@@ -178,12 +232,13 @@ def _offer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{L.experience('body', V.EXPERIENCE_W)} AS niveau_experience, '' AS date_publication, "
     "CASE ord % 4 WHEN 0 THEN 'https://site.example' ELSE 'https://www.welcometothejungle.com' END || CASE WHEN ord % 5 = 0 THEN '/fr/jobs/' "
     "|| id || '-x' ELSE '/fr/companies/co-' || (ord % 7) || '/jobs/' || id || '?q=1' END AS url, 'welcometothejungle' AS source, "
+    f"{_page_amount(1)} AS salaire_min, {_page_amount(2)} AS salaire_max, "
     "'2024-02-01T06:00:00' AS date_scraping, 'active' AS statut, query_recherche FROM d"
 )
 def page_records(spark, sf_dir):
-    """Bronze records of W from page sources, without the salary bounds (see ``page_bounds``)."""
+    """Bronze records of W from page sources, in all their fields."""
     found = pages.details(pages.cards(_offer_pages(spark, sf_dir), F.col("query_recherche")))
-    return _flat(raw.build_w(found, RUN_AT, keep=("page_id",))).drop("salaire_min", "salaire_max")
+    return _flat(raw.build_w(found, RUN_AT, keep=("page_id",)))
 
 
 @query(
