@@ -51,12 +51,9 @@ def count_all(
     files = list(ranks.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = [tokens.words_of(path) for path in files]
+        known = tokens.counts_of(tuple(files))
         for batch in batches:
-            counts = []
-            for value in batch.column(len(columns)):
-                text = value.as_py()
-                counts.append([len(tokens.encode(text, words)) // 4 for words in encoders])
+            counts = [tokens.count(text.as_py(), known) for text in batch.column(len(columns))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(counts, pa.list_(pa.int64()))], names=[*columns, "counts"])
 
     return rows.mapInArrow(run, schema)

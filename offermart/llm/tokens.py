@@ -33,13 +33,45 @@ class _Words(dict):
         return ids
 
 
+class _Counts(dict):
+    """Numbers of ids of a word under several tokenizers, 32 bits each in one number, so that one sum adds them all."""
+
+    def __init__(self, encodings: list[tiktoken.Encoding]):
+        self.encodings = encodings
+
+    def __missing__(self, word: str) -> int:
+        number = sum(len(e.encode_ordinary(word)) << 32 * i for i, e in enumerate(self.encodings))
+        if len(self) < CACHED_WORDS:
+            self[word] = number
+        return number
+
+
+def _encoding(ranks_path: str) -> tiktoken.Encoding:
+    with open(ranks_path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=4)
 def words_of(ranks_path: str) -> _Words:
     """The encoder of a rank file, once per Python worker."""
-    with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _Words(encoding)
+    return _Words(_encoding(ranks_path))
+
+
+@lru_cache(maxsize=4)
+def counts_of(ranks_paths: tuple[str, ...]) -> _Counts:
+    """The counter of several rank files, once per Python worker."""
+    return _Counts([_encoding(path) for path in ranks_paths])
+
+
+def count(text: str | None, counts: _Counts) -> list[int]:
+    """Number of ids of a text under each tokenizer; a text has fewer than 2**32 of them."""
+    if not text:
+        return [0] * len(counts.encodings)
+    if _OTHER_SPACE.search(text):
+        return [len(e.encode_ordinary(text)) for e in counts.encodings]
+    total = sum(map(counts.__getitem__, _CHUNK.findall(text)))
+    return [total >> 32 * i & 0xFFFFFFFF for i in range(len(counts.encodings))]
 
 
 def default_ranks() -> str:

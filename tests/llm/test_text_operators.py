@@ -374,6 +374,13 @@ def test_rollup(spark, docs, tmp_path):
     assert len(counted) == len(ROWS) and {r["tokens"] for r in counted if r["id"] in (3, 4)} == {0}
 
 
+def test_counts_of_several_tokenizers_are_those_of_each():
+    files = [str(public_tokenizers.path(f"{n}.tiktoken")) for n in ("byte_bpe_50k", "byte_bpe_multi_50k")]
+    known = tokens.counts_of(tuple(files))
+    for _, text in ROWS:
+        assert tokens.count(text, known) == [len(tokens.encode(text, tokens.words_of(f))) // 4 for f in files]
+
+
 def test_rollup_inserts_add_over_batches(spark, tmp_path):
     """Two equal rows without id in one batch and one more in the next are three documents."""
     store = rollup.Rollup(spark, str(tmp_path / "rollup"))
