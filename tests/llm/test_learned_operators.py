@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,20 +77,50 @@ def test_logistic_and_network():
     assert models.Network().fit(np.zeros((0, 3)), np.zeros(0)).predict(x[:2]).tolist() == [0.5, 0.5]
 
 
-def test_contexts_are_counted_as_by_hand():
-    base = quality.index_vectors()
-    entries = np.argsort(base == 0, axis=1, kind="stable")[:, : quality.NONZERO]
-    signs = np.take_along_axis(base, entries, axis=1).astype(float)
-    rows = [5, 9, 5, 7, 2]
-    total = np.zeros(quality.ROWS * quality.DIMS)
-    gap = [quality.ROWS] * quality.REACH
-    quality._add_contexts(total, np.array([*rows, *gap, 9, *gap]), entries, signs)
-    want = np.zeros((quality.ROWS, quality.DIMS))
-    for i, j in itertools.permutations(range(len(rows)), 2):
-        if abs(i - j) <= quality.REACH:
-            want[rows[i]] += base[rows[j]]
-    assert np.allclose(total.reshape(want.shape), want)
-    assert (np.count_nonzero(base, axis=1) == quality.NONZERO).all()
+def plain_means(texts):
+    """Means of word vectors by dictionaries: every word's neighbours are counted one by one."""
+    known, total, words = quality._Keys(), {}, []
+    vector = lambda key: np.bincount(quality.index_vectors([key])[0][0], quality.index_vectors([key])[1][0], quality.DIMS)
+    for text in texts:
+        keys, n, marks = quality.tokens(text, known)
+        words.append((keys, n, marks))
+        for i, key in enumerate(keys):
+            around = [*keys[max(0, i - quality.REACH) : i], *keys[i + 1 : i + 1 + quality.REACH]]
+            total[key] = total.get(key, 0) + sum(map(vector, around), np.zeros(quality.DIMS))
+    vectors = {}
+    for key, context in total.items():
+        length = np.sqrt((context**2).sum())
+        vectors[key] = np.rint((vector(key) / np.sqrt(quality.NONZERO) + (context / length if length else 0)) * quality.UNIT)
+    return [(marks + sum((vectors[k] for k in keys), np.zeros(quality.DIMS))) / n / quality.UNIT for keys, n, marks in words], total
+
+
+@pytest.mark.parametrize("head", [0, 40, quality.HEAD])
+def test_means_of_word_vectors_equal_plain_ones(spark, docs, head):
+    """Each word has its own vector; what is broadcast and what is joined makes no difference."""
+    few = spark.read.parquet(f"{SF}/documents.parquet").limit(60).select("doc_id", "text")
+    rows = few.unionByName(docs.where("length(text) < 1000 OR text IS NULL").select("doc_id", "text")).collect()
+    table = spark.createDataFrame(rows, few.schema).repartition(3)
+    words = quality.word_vectors(table)
+    means, carried = quality.pooled(table, words, "doc_id", F.lit(False), carry=True, head=head)
+    got = [(r["row"]["doc_id"], r["row"]["text"], r["id"], np.frombuffer(r["mean"], np.float32)) for r in means.join(carried, "at").collect()]
+    want, total = plain_means([r["text"] for r in rows])
+    assert words.count() == len(total) and (quality.head_count(words, head) > 1) == (head < len(total))
+    assert len(got) == len(rows) and all(a == b for a, _, b, _ in got)
+    by_text = {r["text"]: mean for r, mean in zip(rows, want)}
+    assert all(np.allclose(mean, by_text[text], atol=1e-5) for _, text, _, mean in got)
+
+
+def test_sums_over_batches():
+    """Groups that run over batches, small and large numbers, single rows."""
+    rng = np.random.default_rng(3)
+    keys = np.sort(rng.integers(0, 9, 200))
+    rows = rng.integers(-100, 100, (200, quality.DIMS)) * np.where(rng.random(200) < 0.3, 1000, 1)[:, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.ones(200, np.int64)), quality.packed(rows)], names=["key", "n", "vec"])
+    assert (quality.unpacked(batch.column("vec")) == rows).all()
+    for size in (1, 7, 200):
+        cut = (batch.slice(at, size) for at in range(0, 200, size))
+        got = [(k, s.tolist(), n) for first, sums, counts in quality.summed(cut, "key") for k, s, n in zip(first.column("key").to_pylist(), sums, counts)]
+        assert got == [(k, rows[keys == k].sum(0).tolist(), (keys == k).sum()) for k in np.unique(keys)]
 
 
 @pytest.fixture(scope="module")
