@@ -31,7 +31,9 @@ STEP = DIMS // NONZERO  # each entry has its own stretch of the vector
 UNIT = 80  # whole numbers per unit of length
 HEAD = 1 << 18  # most frequent words whose vectors are broadcast
 REMEMBERED = 1 << 18  # tokens a worker remembers
-TOKENS_AT_ONCE, CHUNK = 1 << 22, 1 << 19  # tokens counted before their sums leave a task, and those added at once
+TOKENS_AT_ONCE, CHUNK = 1 << 23, 1 << 19  # tokens counted before their sums leave a task, and those added at once
+RARE = 5  # up to so many times a word's neighbours are named one by one, two bytes each, which is shorter than their sums
+NOBODY = 1 << 15  # in place of a neighbour at the ends of a text
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 
@@ -57,11 +59,18 @@ class _Keys(dict):
         return key
 
 
+class _Places(dict):
+    """Tokens numbered as they come."""
+
+    def __missing__(self, token: str) -> int:
+        place = self[token] = len(self)
+        return place
+
+
 def index_vectors(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the entries of every key's index vector."""
-    keys = np.asarray(keys, np.int64)[:, None]
-    k = np.arange(NONZERO)
-    return (k * STEP + (keys >> (8 * k)) % STEP), ((keys >> (40 + k)) % 2 * 2 - 1)
+    """Places and signs of the entries of every key's index vector: five bits of the key for each entry."""
+    bits = np.asarray(keys, np.int64)[:, None] >> (5 * np.arange(NONZERO))
+    return np.arange(NONZERO) * STEP + bits % STEP, bits // STEP % 2 * 2 - 1
 
 
 def word_vectors_of(keys: np.ndarray, contexts: np.ndarray) -> np.ndarray:
@@ -99,32 +108,64 @@ def packed(rows: np.ndarray) -> pa.Array:
 
 
 def unpacked(column: pa.Array) -> np.ndarray:
+    """The rows of whole numbers; of rare words the sums of the index vectors of the neighbours that are named."""
     values = column.to_pylist()
     out = np.zeros((len(values), DIMS), np.int64)
     sizes = np.fromiter(map(len, values), np.int64, len(values))
-    for chosen, kind in ((sizes == DIMS, np.int8), (sizes != DIMS, np.int32)):
+    for chosen, kind in ((sizes == DIMS, np.int8), (sizes == 4 * DIMS, np.int32)):
         at = np.flatnonzero(chosen)
         if len(at):
             out[at] = np.frombuffer(b"".join(values[i] for i in at), kind).reshape(-1, DIMS)
+    few = np.flatnonzero(sizes < DIMS)
+    if len(few):
+        others = np.frombuffer(b"".join(values[i] for i in few), np.uint16)
+        rows = np.repeat(few, sizes[few] // 2)
+        real = others < NOBODY
+        at, signs = index_vectors(others[real])
+        np.add.at(out, (rows[real, None], at), signs)
     return out
 
 
-def _contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of the texts, how often each stands there, and the sums of its neighbours' index vectors."""
-    keys, local, counts = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
-    local = local.astype(np.int32)
-    text = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
-    at, signs = (a.astype(np.int32) for a in index_vectors(keys))
-    total = np.zeros(len(keys) * DIMS, np.int32)
-    for step in range(1, REACH + 1):
-        for start in range(0, len(local) - step, CHUNK):
-            end = min(start + CHUNK, len(local) - step)
-            same = text[start:end] == text[start + step : end + step]
-            left, right = local[start:end][same].astype(np.int64), local[start + step : end + step][same].astype(np.int64)
-            for centre, other in ((left, right), (right, left)):
-                for k in range(NONZERO):
-                    np.add.at(total, centre * DIMS + at[other, k], signs[other, k])
-    return keys, counts, total.reshape(-1, DIMS)
+def _contexts(texts: list[np.ndarray], keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """Distinct keys, how often each stands in the texts, and its packed context. The texts hold places in ``keys``, which may repeat a key."""
+    keys, place = np.unique(keys, return_inverse=True)
+    nobody = len(keys)
+    place = np.append(place, nobody).astype(np.int32)
+    gap = np.full(REACH, -1, np.int32)
+    line = place[np.concatenate([gap, *(part for text in texts for part in (text, gap))])]
+    counts = np.bincount(line, minlength=nobody + 1)
+    counts[nobody] = RARE + 1
+    codes = np.append(keys % NOBODY, NOBODY).astype(np.uint16)
+    # Rare words: the neighbours of each place, by word.
+    rare = np.flatnonzero(counts[line] <= RARE)
+    rare = rare[np.argsort(line[rare], kind="stable")]
+    around = codes[line[rare[:, None] + [d for d in range(-REACH, REACH + 1) if d]]]
+    words = np.flatnonzero(counts <= RARE)
+    ends = np.concatenate([[0], np.cumsum(counts[words] * 4 * REACH)]).astype(np.int32)
+    data = np.ascontiguousarray(around).view(np.uint8).ravel()
+    yield keys[words], counts[words], pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    # The others: sums, with a last row for rare words and gaps.
+    words = np.flatnonzero(counts[:nobody] > RARE)
+    row = np.full(nobody + 1, len(words), np.int64)
+    row[words] = np.arange(len(words))
+    at, signs = index_vectors(np.append(keys, 0))
+    at, signs = at.T.astype(np.int32), signs.T.astype(np.int32)
+    signs[:, nobody] = 0
+    total = np.zeros((len(words) + 1) * DIMS, np.int32)
+    for start in range(0, len(line), CHUNK):
+        piece = line[start : start + CHUNK + REACH]
+        base = row[piece] * DIMS
+        for k in range(NONZERO):
+            where, sign = at[k][piece], signs[k][piece]
+            for step in range(1, REACH + 1):
+                lefts = slice(0, min(CHUNK, len(piece) - step))
+                rights = slice(step, lefts.stop + step)
+                np.add.at(total, base[lefts] + where[rights], sign[rights])
+                np.add.at(total, base[rights] + where[lefts], sign[lefts])
+    total = total.reshape(-1, DIMS)
+    for start in range(0, len(words), 1 << 15):
+        part = words[start : start + (1 << 15)]
+        yield keys[part], counts[part], packed(total[start : start + len(part)])
 
 
 def summed(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -163,22 +204,21 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pending, size = _Keys(), [], 0
+        places, pending, size = _Places(), [], 0
 
         def counted():
-            keys, counts, total = _contexts(pending)
-            for at in range(0, len(keys), 1 << 15):
-                part = slice(at, at + (1 << 15))
-                columns = [pa.array(keys[part]), pa.array(counts[part].astype(np.int64)), packed(total[part])]
-                yield pa.RecordBatch.from_arrays(columns, names=["token", "n", "vec"])
+            keys = np.fromiter(map(token_key, places), np.int64, len(places))
+            for found, counts, sums in _contexts(pending, keys):
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts.astype(np.int64)), sums], names=["token", "n", "vec"])
 
         for batch in batches:
             for text in batch.column(0):
-                pending.append(tokens(text.as_py(), known)[0])
-                size += len(pending[-1])
+                found = _TOKEN.findall(text.as_py() or "")
+                pending.append(np.fromiter(map(places.__getitem__, found), np.int32, len(found)))
+                size += len(found)
                 if size >= TOKENS_AT_ONCE:
                     yield from counted()
-                    pending, size = [], 0
+                    places, pending, size = _Places(), [], 0
         if pending:
             yield from counted()
 
