@@ -29,7 +29,7 @@ from offermart.llm.registry import query
 DIMS, NONZERO, REACH = 48, 3, 2  # length of a vector, entries of an index vector, neighbours on each side
 STEP = DIMS // NONZERO  # each entry has its own stretch of the vector
 UNIT = 80  # whole numbers per unit of length
-HEAD = 1 << 18  # most frequent words whose vectors are broadcast
+HEAD = 1 << 19  # most frequent words whose vectors are broadcast, 56 bytes each
 REMEMBERED = 1 << 18  # tokens a worker remembers
 TOKENS_AT_ONCE, CHUNK = 1 << 23, 1 << 19  # tokens counted before their sums leave a task, and those added at once
 RARE = 5  # up to so many times a word's neighbours are named one by one, two bytes each, which is shorter than their sums
@@ -257,7 +257,7 @@ def pooled(
     spark = docs.sparkSession
     least = head_count(words, head)
     top, rest = words.where(F.col("n") >= least).toArrow(), words.where(F.col("n") < least)
-    places = spark.sparkContext.broadcast((top.column("token").to_numpy(), unpacked(top.column("vec")).astype(np.int16)))
+    places = spark.sparkContext.broadcast((top.column("token").to_numpy(), unpacked(top.column("vec")).astype(np.int8)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, vectors = places.value
