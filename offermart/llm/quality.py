@@ -30,7 +30,7 @@ DIMS, NONZERO, REACH = 48, 3, 2  # length of a vector, entries of an index vecto
 STEP = DIMS // NONZERO  # each entry has its own stretch of the vector
 UNIT = 80  # whole numbers per unit of length
 HEAD = 1 << 19  # most frequent words whose vectors are broadcast, 56 bytes each
-REMEMBERED = 1 << 18  # tokens a worker remembers
+REMEMBERED = 1 << 19  # tokens a worker remembers
 TOKENS_AT_ONCE, CHUNK = 1 << 23, 1 << 19  # tokens counted before their sums leave a task, and those added at once
 RARE = 5  # up to so many times a word's neighbours are named one by one, two bytes each, which is shorter than their sums
 NOBODY = 1 << 15  # in place of a neighbour at the ends of a text
@@ -92,7 +92,7 @@ def tokens(text: str | None, known: _Keys) -> tuple[np.ndarray, int, np.ndarray]
         return np.zeros(0, np.int64), 1, _MARKS["<end>"]
     keys = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
     again = int(np.count_nonzero(keys[1:] == keys[:-1]))
-    capitals = sum(map(str.isupper, found)) if text.upper() != text.lower() else 0
+    capitals = sum(map(str.isupper, found))
     return keys, len(found) + again + capitals, again * _MARKS["<again>"] + capitals * _MARKS["<capitals>"]
 
 
