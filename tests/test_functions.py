@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +169,13 @@ def test_terms_of_a_table_are_found_as_by_single_tests(spark, monkeypatch):
         monkeypatch.setattr(terms_module, "BROADCAST_ROWS", rows)
         assert {tuple(r) for r in find_terms(df, "k", "t", terms, "nom").collect()} == want
     assert len(want) > 300 and find_terms(df, "k", "t", terms.limit(0), "nom").count() == 0
+
+
+def test_terms_of_a_text_of_many_words(spark):
+    """Time grows with the words of a text, not with their square."""
+    text = " ".join(f"w{i}" for i in range(100_000)) + " c++"
+    df = spark.createDataFrame([(1, text)], "k long, t string")
+    terms = spark.createDataFrame([("w7",), ("w8 w9",), ("C++",), ("w99999",), ("w",)], "terme string")
+    begun = time.monotonic()
+    assert {r["terme"] for r in find_terms(df, "k", "t", terms).collect()} == {"w7", "w8 w9", "C++", "w99999"}
+    assert time.monotonic() - begun < 30
