@@ -303,3 +303,24 @@ def test_als_ranks_and_is_saved(spark, tmp_path):
     assert {r.rang for r in top} == {1, 2, 3} and len(top) == 3 * ratings.select("user_id").distinct().count()
     save_model(model, str(tmp_path / "model"))
     assert ALSModel.load(str(tmp_path / "model")).rank == 10
+
+
+def test_the_last_round_writes_no_row_per_query_and_cell(spark, monkeypatch):
+    """Cells that are still open after the rounds with a limit are bounded and scored in one task; ties keep the order of the cells."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    items, queries = rng.normal(size=(300, 6)).astype(np.float32).round(1), rng.normal(size=(30, 6)).astype(np.float32).round(1)
+    for name, value in {"BLOCK_ROWS": 8, "CELL_ROWS": 4, "BUCKET_BITS": 1, "ROUNDS": (1, 3, None)}.items():
+        monkeypatch.setattr(search, name, value)
+    limits, visit = [], search._to_visit
+    monkeypatch.setattr(search, "_to_visit", lambda *a: limits.append(a[-1]) or visit(*a))
+    left = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query long, v array<float>")
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "id long, v array<float>")
+    got = {(r["query"], r["id"], r["value"]) for r in search.search(left, right, "id", 4, match.ProductScorer(2), "v").collect()}
+    steps = np.rint(search.unit(queries.astype(float))[0] @ search.unit(items.astype(float))[0].T * 100)
+    assert got == {(q, int(i), steps[q, i]) for q in range(30) for i in np.lexsort((np.arange(300), -steps[q]))[:4]}
+    assert limits == [1, 2]
+    bound, open_ = np.array([[1.0, 3, 3, 3, 2]]), np.array([[True, True, False, True, True]])
+    assert search._best(bound, open_, 1).tolist() == [[False, True, False, False, False]]
+    assert search._best(bound, open_, 3).tolist() == [[False, True, False, True, True]]
