@@ -179,3 +179,22 @@ def test_terms_of_a_text_of_many_words(spark):
     begun = time.monotonic()
     assert {r["terme"] for r in find_terms(df, "k", "t", terms).collect()} == {"w7", "w8 w9", "C++", "w99999"}
     assert time.monotonic() - begun < 30
+
+
+def test_white_space_is_that_of_unicode(spark):
+    """Trimmed and squeezed as by the pattern ``\\s`` with Unicode classes, for every sign of the basic plane."""
+    signs = spark.range(1, 0xD800).selectExpr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') AS c")
+    df = signs.selectExpr("c || ' ' || c || 'a b' || c || c || 'd ' || c || ' ' AS s")
+    same = (text.strip(F.col("s")) == F.regexp_replace("s", r"(?U)^\s+|\s+$", "")) & (text.squeeze(F.col("s")) == F.regexp_replace("s", r"(?U)\s+", " "))
+    assert df.count() > 55_000 and df.filter(~same).count() == 0
+
+
+def test_patterns_only_run_over_texts_that_hold_their_letters(spark):
+    found = [text.required(p) for p in (r"scikit[-\s]?learn", r"ci/?cd", r"c\+\+", r"a|b", r"(ab)?c", r"(\d{4,5})\s*€?\s*/\s*mois", r"abc{0,2}")]
+    assert found == ["scikit", "ci", "c", "", "", "mois", "ab"]
+    df = spark.createDataFrame([("c5+ ans",), ("5+ ans",), ("x+5 ans",), ("+5 ans",), ("scikit learnt",), ("(Scikit-Learn)",), (None,)], "s string")
+    rows = df.select(text.holds(F.lower("s"), r"5\+\s*ans"), text.holds(F.lower("s"), r"\+5 ans"), text.holds(F.lower("s"), r"scikit[-\s]?learn")).collect()
+    no = (False, False, False)
+    assert [tuple(r) for r in rows] == [no, (True, False, False), (False, True, False), no, no, (False, False, True), (None, None, None)]
+    shown = df.select(salary.salary_from_text(F.col("s"), "welcometothejungle"))._jdf.queryExecution().executedPlan().toString()
+    assert "Contains(" in shown or "contains(" in shown.lower()

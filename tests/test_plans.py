@@ -218,3 +218,51 @@ def test_replaced_skills_touch_only_their_buckets(spark, tmp_path):
     assert len(changed) <= 2 and len(stayed) >= len(before) - len(changed)
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("id_utilisateur", "nom_competence").collect())
     assert got == sorted(tuple(r) for r in replace_skills(rows, fresh).collect())
+
+
+def test_token_search_cuts_only_texts_that_hold_the_words(spark):
+    found = market.token_search(W.warehouse(spark, SF).offres, "Engineer Spark")
+    assert plan(found).count("Contains(lower(recherche_text") >= 2
+
+
+def test_a_report_finds_its_unique_offers_once(spark):
+    from offermart.plans import report
+
+    rows = offers_raw(spark, SF).withColumn("competences", F.array(F.lit("x")))
+    shown = report.collector_report(rows, dedup.greedy_unique(rows), V.F)
+    assert "LeftSemi" not in plan(shown) and plan(shown).count("ExistingRDD") >= 5
+
+
+def test_offers_in_order_are_sorted_before_their_texts_are_made(spark):
+    from checks.views import offers_in_order
+
+    rows = offers_in_order(spark, SF)
+    orders = [r[0] for r in rows.select("ord").collect()]
+    assert orders == sorted(orders) and rows.exceptAll(offers_raw(spark, SF)).count() == 0 and len(orders) == offers_raw(spark, SF).count()
+    text = plan(rows)
+    assert text.index("mission longue") < text.index("Sort [") and "hashpartitioning(o_orderkey" not in text
+
+
+def test_dropped_offers_are_compressed(spark):
+    from checks import collect
+
+    files = spark.read.schema(S.BRONZE).json(collect._bronze_files(spark, SF)).inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_a_delivery_is_one_batch_however_many_files_it_has(spark, tmp_path, monkeypatch):
+    import os
+
+    from checks import collect
+
+    rows = spark.range(300).selectExpr("id AS event_id", "timestamp '2024-01-01' + make_interval(0, 0, 0, id % 9) AS ts", "concat('t', id % 2) AS event_type")
+    rows.repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(collect, "_fresh", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")  # a task, and so a file, for each file read
+    try:
+        counted = collect.stream_daily_totals(spark, str(tmp_path)).agg(F.sum("n")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    files = [f for _, _, names in os.walk(tmp_path / "totals" / "in") for f in names if f.endswith(".parquet")]
+    batches = [d for d in os.listdir(tmp_path / "totals" / "out") if d.startswith("batch=")]
+    assert counted == 300 and len(files) > 8 and len(batches) == 4
