@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from offermart import vocab as V
 from offermart.functions import labels, salary, text
-from offermart.functions.text import any_case, blank, squeeze, strip, strip_tags
+from offermart.functions.text import any_case, blank, let, squeeze, strip, strip_tags
 
 # Tags in any case, text across lines.
 _TAG = "(?is)"
@@ -51,6 +51,11 @@ def _texts(html: Column, *patterns: tuple[str, int]) -> Column:
     return F.filter(F.transform(raw, plain), lambda t: t != "")
 
 
+def _first_text(html: Column, *patterns: tuple[str, int], use=lambda texts: texts) -> Column:
+    """Head of ``use(_texts(...))``; a pattern is only looked for when those before it gave nothing."""
+    return F.coalesce(*[_head(use(_texts(html, p))) for p in patterns])
+
+
 def _head(values: Column) -> Column:
     return F.try_element_at(values, F.lit(1))
 
@@ -67,16 +72,15 @@ def title(html: Column, page_heading: bool = False) -> Column:
     label = F.regexp_replace(plain(F.regexp_extract(html, _TAG + LINK_LABEL, 1)), any_case(V.LINK_LABEL_PREFIX), "")
     rest = [(ANY_HEADING, 1)] + ([(PAGE_HEADING, 1)] if page_heading else [])
     return F.coalesce(
-        _head(_texts(html, (HEADING, 1), (MARKED, 1))), F.nullif(strip(label), F.lit("")), _head(_texts(html, *rest))
+        _first_text(html, (HEADING, 1), (MARKED, 1)), F.nullif(strip(label), F.lit("")), _first_text(html, *rest)
     )
 
 
 def offer_url(html: Column, base: str = V.BASE_URL_W) -> Column:
     """First link to a job, else first link; relative links get the base address; empty without links."""
-    links = _all(html, HREF)
-    jobs = F.filter(links, lambda h: h.contains("/jobs/"))
-    href = F.coalesce(_head(jobs), _head(links))
-    return F.coalesce(F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(base), href)), F.lit(""))
+    href = let(_all(html, HREF), lambda links: F.coalesce(_head(F.filter(links, lambda h: h.contains("/jobs/"))), _head(links)))
+    full = let(href, lambda h: F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(base), h)))
+    return F.coalesce(full, F.lit(""))
 
 
 def offer_id(url: Column, titre: Column, keyword: Column) -> Column:
@@ -90,9 +94,13 @@ def offer_id(url: Column, titre: Column, keyword: Column) -> Column:
 
 def company(html: Column) -> Column:
     """First image label that names something: not empty, not ``cover``, under 80 characters."""
-    named = F.transform(_all(html, ALT), plain)
-    good = F.filter(named, lambda a: (a != "") & (F.lower(a) != "cover") & (F.char_length(a) < 80))
-    return F.coalesce(_head(good), F.nullif(_head(named), F.lit("")), F.lit(V.NON_SPECIFIE))
+
+    def name(labels: Column) -> Column:
+        good = F.filter(labels, lambda a: (a != "") & (F.lower(a) != "cover") & (F.char_length(a) < 80))
+        first = _head(labels)
+        return F.coalesce(_head(good), F.when(first != "", first))
+
+    return F.coalesce(let(F.transform(_all(html, ALT), plain), name), F.lit(V.NON_SPECIFIE))
 
 
 def place(html: Column, titre: Column, entreprise: Column) -> Column:
@@ -101,7 +109,9 @@ def place(html: Column, titre: Column, entreprise: Column) -> Column:
     def other(text: Column) -> Column:
         return (text != titre) & (text != entreprise)
 
-    labelled = F.nullif(_head(F.filter(_texts(html, *[(p, 2) for p in PLACES]), other)), F.lit("France"))
+    # An element of one of the patterns has the attribute they all ask for.
+    marked = F.when(F.lower(html).contains("data-testid"), _first_text(html, *[(p, 2) for p in PLACES], use=lambda texts: F.filter(texts, other)))
+    labelled = F.nullif(marked, F.lit("France"))
     spans = F.filter(
         F.transform(_all(html, SPAN), plain),
         lambda s: (F.char_length(s) > 2) & (F.char_length(s) < 35) & ~s.contains("€") & other(s) & ~s.rlike(r"(?U)^\d"),
@@ -121,19 +131,28 @@ def _container(html: Column, start: str) -> Column:
         depth = F.when(state["depth"] > 0, state["depth"] + change).otherwise(F.lit(0))
         return F.struct(depth.alias("depth"), (state["n"] + (depth > 0).cast("int")).alias("n"))
 
-    inside = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)["n"]
-    return F.when(tag != "", F.substring(F.array_join(F.slice(pieces, F.lit(1), inside), ""), 2, 2**31 - 1))
+    def inner(pieces: Column) -> Column:
+        inside = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step)["n"]
+        return F.substring(F.array_join(F.slice(pieces, F.lit(1), inside), ""), 2, 2**31 - 1)
+
+    return F.when(tag != "", let(pieces, inner))
 
 
-def description(html: Column, any_article: bool = False) -> Column:
+def description(html: Column, any_article: bool = False, main: Column | None = None, shown: Column | None = None) -> Column:
     """Text of the first description container that holds any, else the start of the main text, else empty.
 
-    An article counts inside the main part; ``any_article`` takes one anywhere.
+    An article counts inside the main part; ``any_article`` takes one anywhere. ``main`` and ``shown`` are the main part and its text where they
+    are columns already. A container is only looked for when those before it hold nothing.
     """
-    inner = F.regexp_extract(html, _TAG + MAIN, 1)
-    raw = F.array(*[_container(html, p) for p in DESCRIPTIONS], _container(html if any_article else inner, ARTICLE))
-    found = F.filter(F.transform(raw, plain), lambda t: t != "")
-    return F.coalesce(_head(found), F.substring(plain(inner), 1, 3000))
+    main = F.regexp_extract(html, _TAG + MAIN, 1) if main is None else main
+
+    def text_of(container: Column) -> Column:
+        return _head(F.filter(F.transform(F.array(container), plain), lambda t: t != ""))
+
+    # The start tags of all containers but the article hold this word.
+    named = F.when(F.lower(html).contains("description"), F.coalesce(*[text_of(_container(html, p)) for p in DESCRIPTIONS]))
+    article = text_of(_container(html if any_article else main, ARTICLE))
+    return F.coalesce(named, article, F.substring(plain(main) if shown is None else shown, 1, 3000))
 
 
 def cards(pages: DataFrame, keyword: str | Column = "", page_heading: bool = False) -> DataFrame:
@@ -148,15 +167,15 @@ def cards(pages: DataFrame, keyword: str | Column = "", page_heading: bool = Fal
         {
             "_lieu": place(html, F.col("_titre"), F.col("_entreprise")),
             "_id": offer_id(F.col("_url"), F.col("_titre"), F.col("_keyword")),
-            "_contrat": labels.contract_from_card(strip_tags(html)),
+            "_contrat": let(strip_tags(html), labels.contract_from_card),
         }
     )
 
 
 def details(pages: DataFrame, any_article: bool = False) -> DataFrame:
     """Description and salary bounds of a detail page; bounds are read from its main part."""
-    html = F.col("html")
-    bounds = salary.bounds_from_page(plain(F.regexp_extract(html, _TAG + MAIN, 1)))
-    return pages.withColumn("description", description(html, any_article)).withColumns(
-        {"salaire_min": bounds["salaire_min"], "salaire_max": bounds["salaire_max"]}
-    )
+    html, main, shown, bounds = F.col("html"), F.col("_main"), F.col("_shown"), F.col("_bounds")
+    # Columns of their own, so each is computed once however many expressions read it.
+    cut = pages.withColumn("_main", F.regexp_extract(html, _TAG + MAIN, 1)).withColumn("_shown", plain(main))
+    read = cut.withColumns({"description": description(html, any_article, main, shown), "_bounds": salary.bounds_from_page(shown)})
+    return read.withColumns({c: bounds[c] for c in ("salaire_min", "salaire_max")}).drop("_main", "_shown", "_bounds")
