@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from offermart import vocab as V
 from offermart.operators import market
 from offermart.plans.layers import union_sources
+from offermart.session import cut_lineage
 
 
 def _section(name: str, counted: DataFrame, key: str, value: str = "count") -> DataFrame:
@@ -19,8 +20,11 @@ def _section(name: str, counted: DataFrame, key: str, value: str = "count") -> D
 def collector_report(raw: DataFrame, unique: DataFrame, source: str) -> DataFrame:
     """``(section, cle, n)`` of a collection: totals, keywords, skills, contracts, places, salaries, duplicates.
 
-    ``raw`` are the collected offers, ``unique`` those kept. F counts the tail of a place, W the place as it is, A none.
+    ``raw`` are the collected offers, ``unique`` those kept, which are found once: the columns that are counted are a checkpoint. F counts the tail of
+    a place, W the place as it is, A none.
     """
+    places = [] if source == V.A else ["lieu"]
+    unique = cut_lineage(unique.select("salaire_min", "query_recherche", "competences", "type_contrat", *places))
     totals = unique.agg(
         F.count("*").alias("total"), F.count_if(F.col("salaire_min") != 0).alias("avec_salaire")
     )
