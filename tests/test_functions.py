@@ -198,3 +198,29 @@ def test_patterns_only_run_over_texts_that_hold_their_letters(spark):
     assert [tuple(r) for r in rows] == [no, (True, False, False), (False, True, False), no, no, (False, False, True), (None, None, None)]
     shown = df.select(salary.salary_from_text(F.col("s"), "welcometothejungle"))._jdf.queryExecution().executedPlan().toString()
     assert "Contains(" in shown or "contains(" in shown.lower()
+
+
+def test_amounts_are_looked_for_where_all_their_letters_are(spark):
+    assert text.runs(r"(\d{4,5})\s*€?\s*/\s*mois") == ["mois", "/"] and text.runs(r"a|b") == text.runs(r"(ab)?c") == []
+    rng = random.Random(17)
+    parts = ["3000", "45", "320", "45000", " € ", "\xa0", "k€", " k", "/ mois", "/an", "par an", " par mois", "tjm : ", "salaire :", " € brut", "€/jour", "à partir de ", " R "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(7))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "CDD 6 mois, 3000", "2500 € / mois"]], "s string")
+    for rules in (salary.V.SALARY_TEXT_F, salary.V.SALARY_TEXT_W):
+        got = df.select("s", salary.first_amount(F.col("s"), rules)).collect()
+        assert sum(v is not None for _, v in got) > 100
+        for s, value in got:
+            found = [(m, unit) for p, unit in rules if (m := re.search(p, s))]
+            by_unit = {"month": lambda n: n, "year": lambda n: n // 12, "kyear": lambda n: n * 1000 // 12, "day": lambda n: n * 20}
+            assert value == (by_unit[found[0][1]](int(found[0][0][1])) if found else None), s
+
+
+def test_words_and_search_texts_of_every_sign(spark):
+    """Plain words and search texts come out as by the plain patterns, for every sign of the basic plane and beside it."""
+    signs = spark.range(1, 0xD800).selectExpr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') AS c")
+    df = signs.selectExpr("explode(array('r' || c || 'sql', 'sql' || c, c || 'sql x', c || 'r sqls')) AS s")
+    lower = F.lower("s")
+    for body in ("r", "sql"):
+        assert df.filter(text.holds(lower, body) != lower.rlike(text.whole_words(body))).count() == 0
+    cleaned = text.search_text([F.col("s")], F.array().cast("array<string>"))
+    assert df.filter(cleaned != F.regexp_replace(lower, text.unicode(rf"[^a-z{text.WORD}\s]"), " ")).count() == 0
