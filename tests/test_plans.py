@@ -266,3 +266,29 @@ def test_a_delivery_is_one_batch_however_many_files_it_has(spark, tmp_path, monk
     files = [f for _, _, names in os.walk(tmp_path / "totals" / "in") for f in names if f.endswith(".parquet")]
     batches = [d for d in os.listdir(tmp_path / "totals" / "out") if d.startswith("batch=")]
     assert counted == 300 and len(files) > 8 and len(batches) == 4
+
+
+def test_an_upsert_keeps_no_texts_and_deals_them_once(spark, tmp_path, monkeypatch):
+    """Only short columns of a batch are kept in memory; its rows are shuffled into their buckets, not before and once more."""
+    rows, kept, plans = W.gold(spark, SF), [], []
+    rows.write.parquet(str(tmp_path / "in"))
+    persist, insert, width = type(rows).persist, streaming._insert, spark.conf.get("spark.sql.shuffle.partitions")
+
+    def kept_rows(df, *level):
+        kept.append(set(df.columns))
+        return persist(df, *level)
+
+    def inserted(df, path, name, batch):
+        if name == "states":
+            plans.append(plan(df.repartition(streaming.BUCKETS, "id_offre")))
+        insert(df, path, name, batch)
+
+    monkeypatch.setattr(type(rows), "persist", kept_rows)
+    monkeypatch.setattr(streaming, "_insert", inserted)
+    arriving = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    streaming.upsert(arriving, str(tmp_path / "out"), str(tmp_path / "state")).start().awaitTermination()
+    assert kept == [{"id", "entreprise", "competences"}]
+    assert [p.count("Exchange hashpartitioning(id_offre") for p in plans] == [2]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == width
+    star = streaming.read_upserted(spark, str(tmp_path / "out"))
+    assert star.offres.count() == rows.select("id").distinct().count()
