@@ -292,3 +292,24 @@ def test_an_upsert_keeps_no_texts_and_deals_them_once(spark, tmp_path, monkeypat
     assert spark.conf.get("spark.sql.shuffle.partitions") == width
     star = streaming.read_upserted(spark, str(tmp_path / "out"))
     assert star.offres.count() == rows.select("id").distinct().count()
+
+
+def test_batches_before_stay_whatever_the_session_overwrites(spark, tmp_path):
+    rows, path = W.gold(spark, SF), str(tmp_path / "out")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for part, mine in (("a", F.col("source") == V.A), ("b", F.col("source") != V.A)):
+            rows.filter(mine).coalesce(1).write.parquet(str(tmp_path / "in" / part))
+            arriving = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+            streaming.upsert(arriving, path, str(tmp_path / "state")).start().awaitTermination()
+            first = streaming.collect_first(arriving, str(tmp_path / "first"), str(tmp_path / "seen"))
+            first.start().awaitTermination()
+        streaming.compact(spark, path, str(tmp_path / "compact"))
+        ids = rows.select("id").distinct().count()
+        for stored in (path, str(tmp_path / "compact")):
+            star = streaming.read_upserted(spark, stored)
+            assert star.offres.count() == ids and star.offre_competence.count() == S_.offer_skills(rows).count()
+        assert streaming.read_first(spark, str(tmp_path / "first")).count() == ids
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
