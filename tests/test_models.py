@@ -272,6 +272,82 @@ def test_matching_by_vectors_visits_few_cells(spark):
     assert sum(pairs for _, pairs in trace) < 40 * 4000 / 3
 
 
+def isotropic_case(rng, n_offers, n_users, dims=32, alike=False):
+    """Offers and users over vectors without any structure, some alike, some zero. With ``alike`` the users have few wishes."""
+    import numpy as np
+
+    names = ["python", "sql", "spark", "kafka", "airflow", "r", "cobol"]
+    pick = lambda: sorted(rng.choice(names[:6], rng.integers(1, 4), replace=False).tolist())
+    o_vec, u_vec = rng.normal(size=(n_offers, dims)).astype(np.float32), rng.normal(size=(n_users, dims)).astype(np.float32)
+    o_vec[10:40] = o_vec[5]
+    o_vec[50], u_vec[3] = 0, 0
+    offers = [(f"o{i:05}", pick(), ["Paris", "Lyon", None][i % 3], ["CDI", "CDD", None][i % 4 % 3]) for i in range(n_offers)]
+    offers[7] = ("o00007", ["cobol"], "Paris", "CDI")
+    users = [(i, pick(), ["Paris", "Nice", None][i % 3], ["CDI", None][i % 2]) for i in range(n_users)]
+    if alike:
+        users = [(i, [["python"], ["spark", "sql"]][i % 2], ["Paris", "Lyon"][i % 2], "CDI") for i in range(n_users)]
+    users[1] = (1, ["cobol"], "Paris", None)  # one offer shares a skill
+    return offers, o_vec, users, u_vec
+
+
+def blended_model(offers, o_vec, users, u_vec, k):
+    cos = search.unit(u_vec.astype(float))[0] @ search.unit(o_vec.astype(float))[0].T
+    want = set()
+    for user, skills, city, contract in users:
+        scored = []
+        for i, (offer, offered, place, kind) in enumerate(offers):
+            shared = len(set(skills) & set(offered))
+            if shared:
+                fits, near = float(contract is None or contract == kind), 1.0 if (city or "").lower() in (place or "").lower() else 0.5
+                total = round(100 * (0.5 * cos[user, i] + 0.35 * shared / len(offered) + 0.15 * (fits + near) / 2), 6)
+                scored.append((-round(total, 1), offer, shared))
+        want |= {(user, offer, shared, -score) for score, offer, shared in sorted(scored)[:k]}
+    return want
+
+
+def test_matching_over_isotropic_vectors_scores_few_pairs(spark):
+    """Pairs are bounded by the leading numbers of their vectors where no cell can be left out."""
+    import numpy as np
+
+    offers, o_vec, users, u_vec = isotropic_case(np.random.default_rng(2), 9000, 300, 64, alike=True)
+    trace = []
+    got = match.match_top(
+        spark.createDataFrame([(*u, v.tolist()) for u, v in zip(users, u_vec)], "id_utilisateur long, competences array<string>, ville string, contrat string, vecteur array<float>"),
+        spark.createDataFrame([(*o, v.tolist()) for o, v in zip(offers, o_vec)], "id_offre string, competences array<string>, ville string, type_contrat string, vecteur array<float>"),
+        3, trace=trace,
+    )
+    assert {(r.id_utilisateur, r.id_offre, r.communs, r.score_match) for r in got.collect()} == blended_model(offers, o_vec, users, u_vec, 3)
+    assert sum(pairs for _, pairs in trace) < 300 * 9000 / 2
+
+
+@pytest.mark.parametrize("floors", [False, True])
+def test_leading_numbers_bound_every_pair(monkeypatch, floors):
+    """One block of queries and items, cut into many packs, slabs, waves and strips, with and without floors."""
+    import numpy as np
+    import pandas as pd
+
+    from offermart.operators import leading
+
+    rng = np.random.default_rng(6)
+    offers, o_vec, users, u_vec = isotropic_case(rng, 700, 60)
+    small = {"PACK_ROWS": 9, "PACK_LEAST": 4, "STRIP_ROWS": 24, "FIRST_ROWS": 8, "FEW_TRAITS": 3, "TABLE": 600, "REFINED": 50, "WAVES": ((0, 16), (16, 64), (64, None))}
+    for name, value in small.items():
+        monkeypatch.setattr(leading, name, value)
+    scorer = match.OfferScorer(match.Scoring(), "vecteur")
+    items = pd.DataFrame([(o, s, c and c.lower(), k) for o, s, c, k in offers], columns=["_id", "competences", "ville", "type_contrat"])
+    queries = pd.DataFrame([(u, s, c and c.lower(), k) for u, s, c, k in users], columns=["query", "competences", "ville", "contrat"])
+    want = blended_model(offers, o_vec, users, u_vec, 4)
+    lowest = {u: min(s for w, _, _, s in want if w == u) * 10 for u, *_ in users}
+    queries["floor"] = [lowest[u] if floors and u % 3 else None for u in queries["query"]]
+    queries["floor"] = queries["floor"].astype(float)
+    own, theirs = (search.unit(v.astype(float))[0] for v in (u_vec, o_vec))
+    by = leading.rotation(theirs[:200])
+    assert np.allclose(by @ by.T, np.eye(32))
+    pairs = leading.best_pairs(queries, items, own, theirs, by, 4, scorer)
+    got = {(int(queries["query"][r.row]), r.id, round(r.value) / 10) for r in pairs.itertuples()}
+    assert got == {(u, o, s) for u, o, _, s in want}
+
+
 def test_encoder_model_runs_in_batches(spark):
     df = spark.createDataFrame([("a",), ("bbb",), (None,)], "t string")
 
