@@ -181,6 +181,22 @@ def test_terms_of_a_text_of_many_words(spark):
     assert time.monotonic() - begun < 30
 
 
+def test_only_runs_of_sizes_with_many_terms_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(terms_module, "BROADCAST_ROWS", 10)
+    texts = [(i, " ".join(f"w{(i + n) % 90}" for n in range(20)) + " C++") for i in range(60)]
+    terms = spark.createDataFrame([(f"w{n}",) for n in range(80)] + [("w1 w2",), ("c++",)], "terme string")
+    want = {(i, t) for i, text in texts for t in [f"w{n}" for n in range(80)] if t in text.split()}
+    want |= {(i, "w1 w2") for i, text in texts if "w1 w2 " in text} | {(i, "c++") for i, _ in texts}
+    for rows in (texts, texts + texts[:7] + [(None, "w1 w2"), (None, "w2")]):
+        found = find_terms(spark.createDataFrame(rows, "k long, t string"), "k", "t", terms)
+        more = {(None, "w1 w2"), (None, "w1"), (None, "w2")} if len(rows) > 60 else set()
+        assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, want | more))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(size" in plan and "BroadcastHashJoin [size" in plan
+        # Nothing found without signs is moved by its row.
+        assert plan.split("== Initial Plan ==")[0].count("hashpartitioning(k") <= 1
+
+
 def test_white_space_is_that_of_unicode(spark):
     """Trimmed and squeezed as by the pattern ``\\s`` with Unicode classes, for every sign of the basic plane."""
     signs = spark.range(1, 0xD800).selectExpr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') AS c")
