@@ -202,6 +202,32 @@ def test_term_vectors_are_exact_and_rank_like_a_full_comparison(spark):
     assert all(abs(sum(w * w for w in v.values()) - 1) < 1e-9 for v in whole.values() if v)
 
 
+def test_text_vectors_shuffle_texts_not_words(spark):
+    """Words are counted where the texts of a key lie; repeated and null keys count as they did."""
+    rows = [(i, f"a b{i} a c") for i in range(20)]
+    for more in ([], [(3, "a d"), (None, "a e"), (None, "f")]):
+        df = spark.createDataFrame(rows + more, "k long, t string")
+        encoder = match.TermEncoder().fit(df, "k", F.col("t"))
+        texts = {}
+        for k, t in rows + more:
+            texts.setdefault(k, []).extend(t.split())
+        seen = Counter(w for words in texts.values() for w in set(words))
+        want = {w: round(math.log((len(rows + more) + 1) / (n + 1)), 9) for w, n in seen.items()}
+        assert {r.mot: round(r.rarete, 9) for r in encoder.terms.collect()} == want
+    number = {r.mot: r.terme for r in encoder.terms.collect()}
+    got = encoder.transform(df, "k", F.col("t"))
+    weights = {w: n * want[w] for w, n in Counter(texts[3]).items()}
+    long = math.sqrt(sum(w * w for w in weights.values()))
+    three = [r for r in got.collect() if r.k == 3]
+    assert len(three) == 2 and all({t: round(p, 6) for t, p in zip(r.termes, r.poids)} == {number[w]: round(x / long, 6) for w, x in weights.items() if x} for r in three)
+    plan = executed_plan(encoder._counted(df, "k", F.col("t")))
+    assert plan.count("hashpartitioning") == 1 and "hashpartitioning(k" in plan
+
+
+def executed_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def near_centres(rng, n, dims=12, centres=40, spread=0.05):
     import numpy as np
 
