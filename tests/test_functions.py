@@ -193,6 +193,8 @@ def test_only_runs_of_sizes_with_many_terms_are_shuffled(spark, monkeypatch):
         assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, want | more))
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(size" in plan and "BroadcastHashJoin [size" in plan
+        first = plan.split("== Initial Plan ==")[-1]
+        assert "ShuffledHashJoin [size" in first and "SortMergeJoin" not in first
         # Nothing found without signs is moved by its row.
         assert plan.split("== Initial Plan ==")[0].count("hashpartitioning(k") <= 1
 
